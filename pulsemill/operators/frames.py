@@ -42,6 +42,21 @@ def record_time() -> Column:
     return iso_to_utc_timestamp(F.get(stated, F.lit(0))["value"])
 
 
+def has_series() -> Column:
+    """The frame gives at least one row of the time series."""
+    stored = F.exists(
+        "fields",
+        lambda f: F.coalesce(
+            checks.keep_known_name(f["name"])
+            & (f["name"] != "timestamp")
+            & f["kind"].isin(*NUMERIC_KINDS)
+            & f["value"].isNotNull(),
+            F.lit(False),
+        ),
+    )
+    return F.coalesce((F.col("frame_name") == "record") & record_time().isNotNull() & stored, F.lit(False))
+
+
 def unpivot_record_frames(frames: DataFrame, keep: Sequence[str] = ("activity_id",)) -> DataFrame:
     """(activity, timestamp, name, value, units) of the numeric fields of timed record frames."""
     field = F.col("field")
@@ -83,9 +98,22 @@ def split_type() -> Column:
     return F.get(stated, F.lit(0))["value"]
 
 
+def repeats_a_metric() -> Column:
+    """A split or lap frame names one metric twice; its file fails."""
+    known = F.filter(
+        "fields",
+        lambda f: checks.keep_known_name(f["name"])
+        & ~((F.col("frame_name") == "split") & (f["name"] == "split_type")),
+    )
+    entries = F.flatten(F.transform(known, _readable_values))
+    names = F.transform(F.filter(entries, lambda e: cast_or_skip(e["value"]).isNotNull()), lambda e: e["name"])
+    repeated = F.size(names) != F.size(F.array_distinct(names))
+    return F.coalesce(F.col("frame_name").isin("split", "lap") & repeated, F.lit(False))
+
+
 def _unpivot_indexed(frames: DataFrame, kind: str, index: str, keep: Sequence[str]) -> DataFrame:
     field, entry = F.col("field"), F.col("entry")
-    counted = running_frame_index(frames.filter(F.col("frame_name") == kind), index)
+    counted = running_frame_index(frames.filter(F.col("frame_name") == kind), index, [*keep, "frame_name"])
     return (
         counted.withColumn("split_type", split_type())
         .select(*keep, F.col(index).cast("int").alias(index), "split_type", F.explode("fields").alias("field"))
