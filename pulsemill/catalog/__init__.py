@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from pulsemill.catalog import decode, files, values  # noqa: F401
+from pulsemill.catalog.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -158,3 +158,23 @@ def assign(raw: Column, kind: str) -> Column:
 def unfit(raw: Column, kind: str) -> Column:
     """TRUE when a present value does not fit its column; such a value fails its file set."""
     return raw.isNotNull() & assign(raw, kind).isNull()
+
+
+# The same rules as SQL text: documents have lists of up to a hundred fields, and one expression per
+# list is much quicker to build than a hundred column objects.
+_ASSIGN_SQL = {
+    "string": "{x}",
+    "int": "try_cast(round(try_cast({x} as decimal(30,6))) as int)",
+    "bigint": "try_cast(round(try_cast({x} as decimal(30,6))) as bigint)",
+    "double": "case when {x} rlike r'" + FLOAT_TEXT + "' then try_cast({x} as double) end",
+    "boolean": "case when {x} in ('true', 'false') then cast({x} as boolean) end",
+    "date": "try_cast({x} as date)",
+}
+
+
+def assign_sql(path: str, kind: str) -> str:
+    return _ASSIGN_SQL[kind].replace("{x}", path)
+
+
+def unfit_sql(path: str, kind: str) -> str:
+    return f"({path} is not null and ({assign_sql(path, kind)}) is null)"

@@ -77,8 +77,8 @@ def explode_activities(activities: DataFrame) -> DataFrame:
         _start().alias("start_ts"),
         _end().alias("end_ts"),
         timezone_offset_hours(iso_to_utc_timestamp(act["startTimeLocal"]), _start()).alias("timezone_offset_hours"),
-        *columns_of(act, fl.ACTIVITY_REQUIRED),
-        *columns_of(act, fl.ACTIVITY_OPTIONAL),
+        *columns_of("act", fl.ACTIVITY_REQUIRED),
+        *columns_of("act", fl.ACTIVITY_OPTIONAL),
         F.lit(False).alias("ts_data_available"),
     )
 
@@ -87,7 +87,7 @@ def project_sport_metrics(activities: DataFrame, sport: str) -> DataFrame:
     """Metrics of the activities of one sport."""
     act = F.col("act")
     return with_sport(activities).filter(F.col("sport") == sport).select(
-        *ORDER, assign(act["activityId"], "bigint").alias("activity_id"), *columns_of(act, fl.SPORTS[sport])
+        *ORDER, assign(act["activityId"], "bigint").alias("activity_id"), *columns_of("act", fl.SPORTS[sport])
     )
 
 
@@ -125,7 +125,7 @@ def activity_failures(docs: DataFrame, activities: DataFrame) -> DataFrame:
     act = F.col("act")
     sports = any_of(
         [
-            (checks.sport_branch(act["activityType"]["typeKey"]) == sport) & any_unfit(act, fields)
+            (checks.sport_branch(act["activityType"]["typeKey"]) == sport) & any_unfit("act", fields)
             for sport, fields in fl.SPORTS.items()
         ]
     )
@@ -152,8 +152,8 @@ def activity_failures(docs: DataFrame, activities: DataFrame) -> DataFrame:
                     unfit(act["activityId"], "bigint"),
                     unfit(act["activityType"]["typeId"], "int"),
                     unfit(act["eventType"]["typeId"], "int"),
-                    any_unfit(act, fl.ACTIVITY_REQUIRED),
-                    any_unfit(act, fl.ACTIVITY_OPTIONAL),
+                    any_unfit("act", fl.ACTIVITY_REQUIRED),
+                    any_unfit("act", fl.ACTIVITY_OPTIONAL),
                     sports,
                 ]
             ),

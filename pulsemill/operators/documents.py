@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.fields import Field
-from pulsemill.functions.scalars import assign, unfit
+from pulsemill.functions.scalars import assign_sql, unfit_sql
 
 # Where a row comes from, and with `pos` the total order in which writes take effect.
 ORIGIN = ["file_set_ts", "type_rank", "file_name"]
@@ -40,12 +40,18 @@ def struct_ddl(fields: Iterable[Field | str]) -> str:
     return ", ".join(f"`{name}` string" for name in names)
 
 
-def columns_of(holder: Column, fields: Iterable[Field]) -> list[Column]:
-    return [assign(holder[f.json], f.kind).alias(f.column) for f in fields]
+def columns_of(path: str, fields: Iterable[Field]) -> list[Column]:
+    """The fields below `path`, a struct or a map of raw texts, as typed columns."""
+    return [F.expr(assign_sql(f"{path}.`{f.json}`", f.kind)).alias(f.column) for f in fields]
 
 
-def any_unfit(holder: Column, fields: Iterable[Field]) -> Column:
-    return any_of([unfit(holder[f.json], f.kind) for f in fields if f.kind != "string"])
+def unfit_text(path: str, fields: Iterable[Field]) -> str:
+    tests = [unfit_sql(f"{path}.`{f.json}`", f.kind) for f in fields if f.kind != "string"]
+    return "(" + " or ".join(tests or ["false"]) + ")"
+
+
+def any_unfit(path: str, fields: Iterable[Field]) -> Column:
+    return F.expr(unfit_text(path, fields))
 
 
 def any_of(conditions: Iterable[Column]) -> Column:

@@ -24,10 +24,9 @@ PROFILE = f"full_name string, userData struct<{_DATA}>"
 
 def project_user_profile(docs: DataFrame) -> DataFrame:
     """The profile row; its id is derived from its origin, so that a retry gives the same id."""
-    data = F.col("doc.userData")
     columns = [
         lowercase_or_null(c).alias("gender") if f.column == "gender" else c
-        for f, c in zip(fl.USER_DATA, columns_of(data, fl.USER_DATA))
+        for f, c in zip(fl.USER_DATA, columns_of("doc.userData", fl.USER_DATA))
     ]
     return docs.select(
         *ORIGIN,
@@ -60,7 +59,7 @@ def profile_failures(docs: DataFrame) -> DataFrame:
             "unreadable document": unreadable(docs),
             "userData missing": F.col("doc.userData").isNull(),
             "bad birth date": _bad_birth_date(),
-            "bad profile value": any_unfit(F.col("doc.userData"), fl.USER_DATA),
+            "bad profile value": any_unfit("doc.userData", fl.USER_DATA),
         },
     )
 

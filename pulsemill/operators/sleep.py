@@ -11,6 +11,7 @@ from pulsemill import fields as fl
 from pulsemill.functions import checks
 from pulsemill.functions.scalars import (
     assign,
+    assign_sql,
     epoch_ms_to_timestamp,
     iso_to_utc_timestamp,
     timezone_offset_hours,
@@ -68,8 +69,11 @@ def parse_sleep(docs: DataFrame) -> DataFrame:
     return parse(docs, SLEEP)
 
 
+_DTO = "doc.dailySleepDTO"
+
+
 def _daily() -> Column:
-    return F.col("doc.dailySleepDTO")
+    return F.col(_DTO)
 
 
 def _has_session() -> Column:
@@ -83,9 +87,9 @@ def sleep_key(user_id: Column, start_ts: Column) -> Column:
     return F.xxhash64(user_id, start_ts)
 
 
-def nested_parts(holder: Column, parts: list[tuple[str, str, str, str]]) -> list[Column]:
+def nested_parts(path: str, parts: list[tuple[str, str, str, str]]) -> list[Column]:
     """(object, part, column, kind) -> flat columns; an absent object gives NULLs."""
-    return [assign(holder[obj][part], kind).alias(column) for obj, part, column, kind in parts]
+    return [F.expr(assign_sql(f"{path}.{obj}.{part}", kind)).alias(column) for obj, part, column, kind in parts]
 
 
 def project_sleep_session(docs: DataFrame) -> DataFrame:
@@ -94,9 +98,9 @@ def project_sleep_session(docs: DataFrame) -> DataFrame:
     start = epoch_ms_to_timestamp(daily["sleepStartTimestampGMT"])
     local = epoch_ms_to_timestamp(daily["sleepStartTimestampLocal"])
     needs = [
-        assign(daily[need][f.json], f.kind).alias(f"{prefix}_{f.column}")
+        column.alias(f"{prefix}_{f.column}")
         for need, prefix in _NEEDS.items()
-        for f in fl.SLEEP_NEED
+        for f, column in zip(fl.SLEEP_NEED, columns_of(f"{_DTO}.{need}", fl.SLEEP_NEED))
     ]
     return docs.filter(_has_session()).select(
         *ORIGIN,
@@ -106,11 +110,11 @@ def project_sleep_session(docs: DataFrame) -> DataFrame:
         start.alias("start_ts"),
         epoch_ms_to_timestamp(daily["sleepEndTimestampGMT"]).alias("end_ts"),
         timezone_offset_hours(local, start).alias("timezone_offset_hours"),
-        *columns_of(daily, fl.SLEEP_DAILY),
-        *nested_parts(daily["sleepScores"], fl.SLEEP_SCORES),
+        *columns_of(_DTO, fl.SLEEP_DAILY),
+        *nested_parts(f"{_DTO}.sleepScores", fl.SLEEP_SCORES),
         *needs,
-        *columns_of(F.col("doc.wellnessSpO2SleepSummaryDTO"), fl.SLEEP_SPO2_SUMMARY),
-        *columns_of(F.col("doc"), fl.SLEEP_ROOT),
+        *columns_of("doc.wellnessSpO2SleepSummaryDTO", fl.SLEEP_SPO2_SUMMARY),
+        *columns_of("doc", fl.SLEEP_ROOT),
     )
 
 
@@ -197,10 +201,10 @@ def sleep_failures(docs: DataFrame) -> DataFrame:
         ),
         "bad sleep value": _has_session()
         & any_of(
-            [any_unfit(daily, fl.SLEEP_DAILY), any_unfit(F.col("doc"), fl.SLEEP_ROOT)]
-            + [any_unfit(F.col("doc.wellnessSpO2SleepSummaryDTO"), fl.SLEEP_SPO2_SUMMARY)]
-            + [any_unfit(daily[need], fl.SLEEP_NEED) for need in _NEEDS]
-            + [unfit(daily["sleepScores"][o][p], kind) for o, p, _, kind in fl.SLEEP_SCORES if kind != "string"]
+            [any_unfit(_DTO, fl.SLEEP_DAILY), any_unfit("doc", fl.SLEEP_ROOT)]
+            + [any_unfit("doc.wellnessSpO2SleepSummaryDTO", fl.SLEEP_SPO2_SUMMARY)]
+            + [any_unfit(f"{_DTO}.{need}", fl.SLEEP_NEED) for need in _NEEDS]
+            + [any_unfit(f"{_DTO}.sleepScores.{o}", [fl.Field(p, c, k)]) for o, p, c, k in fl.SLEEP_SCORES]
         ),
     }
     for table, (array, *_) in SERIES.items():

@@ -31,6 +31,7 @@ from pulsemill.operators.documents import (
     parse,
     spread,
     struct_ddl,
+    unfit_text,
     unreadable,
 )
 from pulsemill.registry import RECORD_LABELS, RECORDS_WITHOUT_ACTIVITY
@@ -69,8 +70,8 @@ def project_vo2_max(docs: DataFrame, kind: str) -> DataFrame:
 
 
 def project_acclimation(docs: DataFrame) -> DataFrame:
-    holder = F.col("doc.mostRecentVO2Max.heatAltitudeAcclimation")
-    return _dated(docs, holder, columns_of(holder, fl.ACCLIMATION))
+    path = "doc.mostRecentVO2Max.heatAltitudeAcclimation"
+    return _dated(docs, F.col(path), columns_of(path, fl.ACCLIMATION))
 
 
 def _balance() -> Column:
@@ -85,15 +86,15 @@ def project_training_load(docs: DataFrame, group: str) -> DataFrame:
     """`group` is balance or status, both of the first device the document lists."""
     if group == "balance":
         staged = docs.withColumn("device", _balance())
-        return _dated(staged, F.col("device"), columns_of(F.col("device"), fl.LOAD_BALANCE))
+        return _dated(staged, F.col("device"), columns_of("device", fl.LOAD_BALANCE))
     staged = docs.withColumn("device", _status())
-    ratio = columns_of(F.col("device.acuteTrainingLoadDTO"), fl.LOAD_RATIO)
-    return _dated(staged, F.col("device"), [*ratio, *columns_of(F.col("device"), fl.LOAD_STATUS)])
+    ratio = columns_of("device.acuteTrainingLoadDTO", fl.LOAD_RATIO)
+    return _dated(staged, F.col("device"), [*ratio, *columns_of("device", fl.LOAD_STATUS)])
 
 
 def status_failures(docs: DataFrame) -> DataFrame:
-    vo2 = F.col("doc.mostRecentVO2Max")
-    balance, status = _balance(), _status()
+    docs = docs.withColumns({"balance": _balance(), "status": _status()})
+    vo2, balance, status = F.col("doc.mostRecentVO2Max"), F.col("balance"), F.col("status")
 
     def bad_date(holder: Column) -> Column:
         stated = empty_to_null(holder["calendarDate"])
@@ -109,10 +110,10 @@ def status_failures(docs: DataFrame) -> DataFrame:
                 [
                     unfit(vo2["generic"]["vo2MaxPreciseValue"], "double"),
                     unfit(vo2["cycling"]["vo2MaxPreciseValue"], "double"),
-                    any_unfit(vo2["heatAltitudeAcclimation"], fl.ACCLIMATION),
-                    any_unfit(balance, fl.LOAD_BALANCE),
-                    any_unfit(status, fl.LOAD_STATUS),
-                    any_unfit(status["acuteTrainingLoadDTO"], fl.LOAD_RATIO),
+                    any_unfit("doc.mostRecentVO2Max.heatAltitudeAcclimation", fl.ACCLIMATION),
+                    any_unfit("balance", fl.LOAD_BALANCE),
+                    any_unfit("status", fl.LOAD_STATUS),
+                    any_unfit("status.acuteTrainingLoadDTO", fl.LOAD_RATIO),
                 ]
             ),
         },
@@ -155,7 +156,7 @@ def explode_training_readiness(docs: DataFrame) -> DataFrame:
             "user_id",
             time.alias("timestamp"),
             offset.alias("timezone_offset_hours"),
-            *columns_of(item, fl.READINESS),
+            *columns_of("item", fl.READINESS),
         )
     )
 
@@ -185,7 +186,7 @@ def readiness_failures(docs: DataFrame) -> DataFrame:
             "unreadable document": _not_a_list(),
             "unknown readiness field": exists(items, lambda i: timed(i) & (F.size(unknown_keys(i)) > 0)),
             "bad readiness time": exists(items, bad_time),
-            "bad readiness value": exists(items, lambda i: timed(i) & any_unfit(i, fl.READINESS)),
+            "bad readiness value": F.expr(f"exists(items, i -> i.timestamp <> '' and {unfit_text('i', fl.READINESS)})"),
             "readiness time repeated": F.size(times) != F.size(F.array_distinct(times)),
         },
     )
@@ -256,7 +257,7 @@ def project_race_prediction(docs: DataFrame) -> DataFrame:
         F.lit(0).alias("pos"),
         "user_id",
         parse_date_or_null(doc["calendarDate"]).alias("date"),
-        *columns_of(doc, fl.RACE_TIMES),
+        *columns_of("doc", fl.RACE_TIMES),
     )
 
 
@@ -267,7 +268,7 @@ def race_failures(docs: DataFrame) -> DataFrame:
         {
             "unreadable document": _has_prediction() & unreadable(docs),
             "race date missing": _has_prediction() & parse_date_or_null(doc["calendarDate"]).isNull(),
-            "bad race time": any_unfit(doc, fl.RACE_TIMES),
+            "bad race time": any_unfit("doc", fl.RACE_TIMES),
         },
     )
 

@@ -169,7 +169,7 @@ def intensity_failures(docs: DataFrame) -> DataFrame:
     doc = F.col("doc")
     dated = empty_to_null(doc["calendarDate"]).isNotNull()
     rules["bad intensity date"] = dated & parse_date_or_null(doc["calendarDate"]).isNull()
-    rules["bad intensity minutes"] = dated & any_unfit(doc, _DAY_MINUTES)
+    rules["bad intensity minutes"] = dated & any_unfit("doc", _DAY_MINUTES)
     return failures(docs, rules)
 
 

@@ -12,9 +12,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Protocol
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,7 @@ from pulsemill.sources.mailbox import with_origin
 from pulsemill.sources.store import WHOLE, Store, added, replaced
 
 MAX_CASCADE = 10
+JOBS_AT_ONCE = 8
 
 
 class Decoder(Protocol):
@@ -90,23 +94,29 @@ def run_batch(
     run, version, manifest = uuid.uuid4().hex, store.version(), store.manifest()
     files = _stage_files(work, raw, config)
     taken = files.filter(F.col("state") == "process")
-    first, findings = _decode(taken, config)
+    decoded, findings = _decode(taken, config)
+    parts = together({name: partial(work.save, rows, f"rows-{name}") for name, rows in decoded.items()})
+    findings = work.save(findings, "findings")
     fit = _activity_files(work, taken, decoded_frames)
     known = store.read("activity", manifest=manifest).select("activity_id")
-    failed, records = _failed_sets(work, known, first, findings, fit)
+    failed, n_failed, visible = _failed_sets(work, known, parts, findings, fit)
+    good = taken.filter("user_id is not null")
+    if visible is not None:
+        parts["personal_record"] = visible
+    if n_failed:
+        parts = {name: without_sets(rows, failed) for name, rows in parts.items()}
+        fit, good = without_sets(fit, failed), without_sets(good, failed)
 
-    good = skew_join(taken, failed.select("file_set_ts"), ["file_set_ts"], "left_anti", spread=["file_name"])
-    decoded, _ = _decode(good, config)
-    if records is not None:
-        decoded["personal_record"] = records.join(failed, "file_set_ts", "left_anti")
-    parts = {name: work.save(rows, f"rows-{name}") for name, rows in decoded.items()}
     now = F.lit(config.dag_start_date).cast("timestamp")
     target = Target(store, manifest, run, now)
-    _write_users(target, good.filter("user_id is not null"), parts)
-    for name in TABLES:
-        if name not in ("user", "activity", "etl_result"):
-            _write_table(target, name, parts)
-    _write_activities(work, target, parts, fit.join(failed, "file_set_ts", "left_anti"), decoded_frames)
+    merged = [name for name in TABLES if name not in ("user", "activity", "etl_result")]
+    together(
+        {
+            "user": partial(_write_users, target, good, parts),
+            "activity": partial(_write_activities, work, target, parts, fit, decoded_frames),
+            **{name: partial(_write_table, target, name, parts) for name in merged},
+        }
+    )
     outcome = work.save(_outcome(files, failed), "outcome")
     if config.store:
         outcome = config.store(outcome)
@@ -115,6 +125,13 @@ def run_batch(
     return outcome
 
 
+def together(tasks: dict[str, Callable]) -> dict:
+    """Run independent Spark jobs side by side: one small table must not keep the cluster waiting."""
+    with ThreadPoolExecutor(max_workers=JOBS_AT_ONCE) as pool:
+        running = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
 @dataclass
 class Workspace:
     """Written intermediate frames: they cut the lineage and outlive a lost executor."""
@@ -195,8 +212,9 @@ def _activity_files(work: Workspace, files: DataFrame, decoded: DataFrame | None
 
 def _failed_sets(
     work: Workspace, known: DataFrame, parts: dict[str, DataFrame], findings: DataFrame, fit: DataFrame
-) -> tuple[DataFrame, DataFrame | None]:
-    """Sets that fail, with the first broken rule, and the personal records whose activity exists.
+) -> tuple[DataFrame, int, DataFrame | None]:
+    """Sets that fail, with the first broken rule, their number, and the personal records whose
+    activity exists.
 
     A failed set takes its activities with it, which may cost later sets their parent rows, so the
     check runs until the set of failures stands still. Each round works on written frames of
@@ -204,11 +222,10 @@ def _failed_sets(
     """
     empty = work.spark.createDataFrame([], "file_set_ts timestamp, activity_id bigint")
     listed = parts["activity"].select("file_set_ts", "activity_id").distinct() if "activity" in parts else empty
-    listed = work.save(listed, "listed")
     twice = fit.filter("repeats").select(*ORIGIN, F.lit("metric repeated").alias("rule"))
     unnamed = fit.filter("activity_id is null").select(*ORIGIN, F.lit("no activity id in the name").alias("rule"))
-    findings = work.save(findings.unionByName(twice).unionByName(unnamed), "findings")
-    records = work.save(parts["personal_record"], "records") if "personal_record" in parts else None
+    findings = findings.unionByName(twice).unionByName(unnamed)
+    records = parts.get("personal_record")
     failed = work.save(_per_set(findings), "failed-0")
     count = failed.count()
     for turn in range(1, MAX_CASCADE + 1):
@@ -234,7 +251,7 @@ def _failed_sets(
         failed = work.save(_per_set(found), f"failed-{turn}")
         new_count = failed.count()
         if new_count == count:
-            return failed, visible
+            return failed, count, visible
         count = new_count
     raise RuntimeError(f"failed file sets did not settle in {MAX_CASCADE} rounds")
 
@@ -246,6 +263,12 @@ def _seen(rows: DataFrame, first_seen: DataFrame) -> DataFrame:
     return joined.filter(visible).select(*rows.columns)
 
 
+def without_sets(rows: DataFrame, failed: DataFrame) -> DataFrame:
+    """Rows of the sets that did not fail; one set may hold very many rows."""
+    spread = [c for c in ("file_name", "pos") if c in rows.columns]
+    return skew_join(rows, failed.select("file_set_ts"), ["file_set_ts"], "left_anti", spread=spread)
+
+
 def _per_set(findings: DataFrame) -> DataFrame:
     """One row per failed set with the rule broken first in processing order."""
     return findings.groupBy("file_set_ts").agg(
