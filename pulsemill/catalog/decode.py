@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pulsemill import fields as fl
 from pulsemill.catalog.base import Tables, as_docs, millis, ntz, query
 from pulsemill.operators import activity, frames, profile, sleep, training, wellness
-from pulsemill.operators.documents import parse
 
 MS = "(epoch_us(ts) // 1000)"
 VALUE = "cast(floor(value) as integer)"
@@ -35,14 +34,14 @@ def explode_heart_rate(t: Tables) -> DataFrame:
         F.array(ms + 2000, value + 1),
     )
     docs = as_docs(t.events, F.to_json(F.struct(pairs.alias("heartRateValues"))), "user_id")
-    return _reading(wellness.explode_heart_rate(parse(docs, wellness.HEART_RATE)))
+    return _reading(wellness.explode_heart_rate(docs))
 
 
 @query(f"select user_id, {MS} as ts_ms, {VALUE} - 50 as value from events where floor(value) >= 50")
 def explode_stress(t: Tables) -> DataFrame:
     pairs = F.array(F.array(millis("ts"), _int_value() - 50), F.array(millis("ts")))
     docs = as_docs(t.events, F.to_json(F.struct(pairs.alias("stressValuesArray"))), "user_id")
-    return _reading(wellness.explode_stress(parse(docs, wellness.STRESS)))
+    return _reading(wellness.explode_stress(docs))
 
 
 @query(f"""
@@ -57,7 +56,7 @@ def explode_body_battery(t: Tables) -> DataFrame:
         millis("ts") + 1000,
     )
     docs = as_docs(t.events, content, "user_id")
-    return _reading(wellness.explode_body_battery(parse(docs, wellness.STRESS)))
+    return _reading(wellness.explode_body_battery(docs))
 
 
 def _double_pairs(t: Tables, name: str) -> DataFrame:
@@ -67,13 +66,13 @@ def _double_pairs(t: Tables, name: str) -> DataFrame:
 
 @query(f"select user_id, {MS} as ts_ms, value - 50 as value from events where value >= 50")
 def explode_respiration(t: Tables) -> DataFrame:
-    docs = parse(_double_pairs(t, "respirationValuesArray"), wellness.RESPIRATION)
+    docs = _double_pairs(t, "respirationValuesArray")
     return _reading(wellness.explode_respiration(docs))
 
 
 @query(f"select user_id, {MS} as ts_ms, value - 50 as value from events where value >= 50")
 def explode_intensity_minutes(t: Tables) -> DataFrame:
-    docs = parse(_double_pairs(t, "imValuesArray"), wellness.INTENSITY)
+    docs = _double_pairs(t, "imValuesArray")
     return _reading(wellness.explode_intensity_minutes(docs))
 
 
@@ -92,7 +91,7 @@ def explode_floors(t: Tables) -> DataFrame:
         F.col("l_quantity").cast("int"),
         day,
     )
-    docs = parse(as_docs(t.lineitem, content, "l_orderkey"), wellness.FLOORS)
+    docs = as_docs(t.lineitem, content, "l_orderkey")
     rows = wellness.explode_floors(docs)
     return rows.select("user_id", ntz(F.col("timestamp")).alias("ts"), "ascended", "descended")
 
@@ -111,7 +110,7 @@ def explode_steps(t: Tables) -> DataFrame:
         F.col("event_type").alias("primaryActivityLevel"),
         (F.col("event_type") == "click").alias("activityLevelConstant"),
     )
-    docs = wellness.parse_steps(as_docs(t.events, F.to_json(F.array(item)), "user_id"))
+    docs = as_docs(t.events, F.to_json(F.array(item)), "user_id")
     return wellness.explode_steps(docs).select(
         "user_id", ntz(F.col("timestamp")).alias("ts"), "value", "activity_level", "activity_level_constant"
     )
@@ -151,7 +150,7 @@ def _sleep_docs(t: Tables) -> DataFrame:
         ),
         {"ignoreNullFields": "false"},
     )
-    return sleep.parse_sleep(as_docs(t.events, content, "user_id"))
+    return as_docs(t.events, content, "user_id")
 
 
 def _series_of_sessions(t: Tables, table: str, column: str = "value") -> DataFrame:
@@ -314,7 +313,7 @@ def explode_training_readiness(t: Tables) -> DataFrame:
         (kind == "view").alias("validSleep"),
         F.col("event_id").alias("deviceId"),
     )
-    docs = training.parse_objects(as_docs(t.events, F.to_json(F.array(item)), "user_id"))
+    docs = as_docs(t.events, F.to_json(F.array(item)), "user_id")
     return training.explode_training_readiness(docs).select(
         "user_id", millis("timestamp").alias("ts_ms"), F.col("timezone_offset_hours").alias("offset_hours"),
         "score", "level", "sleep_score", "valid_sleep",
@@ -335,7 +334,7 @@ def explode_personal_records(t: Tables) -> DataFrame:
         millis("o_orderdate").alias("prStartTimeGmt"),
         F.col("o_totalprice").alias("value"),
     )
-    docs = training.parse_objects(as_docs(t.orders, F.to_json(F.array(item)), "o_custkey"))
+    docs = as_docs(t.orders, F.to_json(F.array(item)), "o_custkey")
     label = F.when(F.col("type_id").isin(1, 12, 26), F.col("label"))
     return training.explode_personal_records(docs).select(
         "user_id", "activity_id", ntz(F.col("timestamp")).alias("ts"), "type_id", label.alias("label"), "value"
@@ -355,7 +354,7 @@ def project_race_prediction(t: Tables) -> DataFrame:
             F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")).alias("timeMarathon"),
         )
     )
-    docs = parse(as_docs(t.orders, content, "o_custkey"), training.RACE)
+    docs = as_docs(t.orders, content, "o_custkey")
     return training.project_race_prediction(docs).select("user_id", "date", "time_5k", "time_marathon")
 
 
@@ -372,7 +371,7 @@ def project_user_profile(t: Tables) -> DataFrame:
         F.lit("1990-02-03").alias("birthDate"),
     )
     content = F.to_json(F.struct(F.col("c_name").alias("full_name"), data.alias("userData")))
-    docs = parse(as_docs(t.customer, content, "c_custkey"), profile.PROFILE)
+    docs = as_docs(t.customer, content, "c_custkey")
     row = profile.project_user_profile(docs).select(
         "user_id", "gender", "weight", "lactate_threshold_heart_rate", "height"
     )
@@ -407,7 +406,7 @@ def project_sleep_session(t: Tables) -> DataFrame:
             (F.col("o_orderstatus") == "F").alias("remSleepData"),
         )
     )
-    rows = sleep.project_sleep_session(sleep.parse_sleep(as_docs(t.orders, content, "o_custkey")))
+    rows = sleep.project_sleep_session(as_docs(t.orders, content, "o_custkey"))
     return rows.select(
         "user_id", ntz(F.col("start_ts")).alias("start_ts"), ntz(F.col("end_ts")).alias("end_ts"),
         "timezone_offset_hours", "hrv_status", "average_spo2", "sleep_need_actual", "next_sleep_need_feedback",
@@ -443,7 +442,7 @@ def _status_docs(t: Tables) -> DataFrame:
             F.struct(F.create_map(F.lit("77"), load).alias("latestTrainingStatusData")).alias("mostRecentTrainingStatus"),
         )
     )
-    return parse(as_docs(t.orders, content, "o_custkey"), training.STATUS)
+    return as_docs(t.orders, content, "o_custkey")
 
 
 @query("""
@@ -496,7 +495,7 @@ def project_intensity_totals(t: Tables) -> DataFrame:
             F.when(flag != "R", F.col("l_quantity").cast("int")).alias("endDayMinutes"),
         )
     )
-    docs = parse(as_docs(t.lineitem, content, "l_orderkey"), wellness.INTENSITY)
+    docs = as_docs(t.lineitem, content, "l_orderkey")
     rows = wellness.project_intensity_totals(docs)
     return rows.select("user_id", "date", "moderate_minutes", "total_intensity_minutes")
 

@@ -18,9 +18,8 @@ from pulsemill.catalog.base import (
 )
 from pulsemill.functions import names
 from pulsemill.operators import merge, wellness
-from pulsemill.operators.documents import parse
 from pulsemill.plans.numbering import number_rows
-from pulsemill.registry import DATA_TYPES, PROCESS_ORDER, file_patterns, type_rank
+from pulsemill.registry import DATA_TYPES, PROCESS_ORDER, type_rank
 from pulsemill.session import scratch_path
 from pulsemill.sources import chunks, ledger, mailbox
 
@@ -32,7 +31,7 @@ def scan_raw_documents(t: Tables) -> DataFrame:
     folder = scratch_path(t.spark, "mailbox")
     mailbox.land_documents(packed_events(t), folder)
     docs = mailbox.with_origin(mailbox.scan_raw_documents(t.spark, folder))
-    rows = wellness.explode_heart_rate(parse(docs, wellness.HEART_RATE))
+    rows = wellness.explode_heart_rate(docs)
     return rows.select("user_id", millis("timestamp").alias("ts_ms"), "value")
 
 
@@ -66,9 +65,18 @@ def parse_activity_filename(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", names.parse_activity_filename(name).alias("activity_id"))
 
 
-@query(f"with {EVENT_FILES_SQL} select event_id, file_type from files")
+@query(f"""
+with {EVENT_FILES_SQL}
+select event_id, file_type, case when kind = 'HEART_RATE' then
+  case when starts_with(file_name, '1') then 'FIRST' else 'ANY' end end as own_type
+from files
+""")
 def classify_file_type(t: Tables) -> DataFrame:
-    return event_files(t).select("event_id", names.classify_file_type(F.col("file_name"), file_patterns()).alias("file_type"))
+    name = F.col("file_name")
+    by_pattern = names.classify_file_type(name, {"FIRST": "^1.*_HEART_RATE_", "ANY": "_HEART_RATE_"})
+    return event_files(t).select(
+        "event_id", names.registered_type(name).alias("file_type"), by_pattern.alias("own_type")
+    )
 
 
 @query("""
@@ -102,7 +110,7 @@ def _set_files(t: Tables) -> DataFrame:
     files = event_files(t)
     return files.select(
         "*",
-        names.classify_file_type(F.col("file_name"), file_patterns()).alias("file_type"),
+        names.registered_type(F.col("file_name")).alias("file_type"),
         names.extract_file_timestamp(F.col("file_name"), F.col("mtime"), F.col("path")).alias("file_set_ts"),
     )
 

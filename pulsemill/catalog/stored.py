@@ -87,7 +87,7 @@ def drop_expired_chunks(t: Tables) -> DataFrame:
 
 def _batch_rows(batch: DataFrame) -> DataFrame:
     docs = mailbox.with_origin(batch)
-    return wellness.explode_heart_rate(parse(docs, wellness.HEART_RATE))
+    return wellness.explode_heart_rate(docs)
 
 
 @query(PACKED_EVENTS_SQL)
@@ -169,7 +169,7 @@ from readings group by all
 def daily_heart_rate(t: Tables) -> DataFrame:
     """Flagship: documents -> readings -> keyed table -> average heart rate per user and day."""
     docs = packed_events(t).withColumn("path", F.col("file_name")).withColumn("mtime", F.lit(None).cast("timestamp"))
-    rows = wellness.explode_heart_rate(parse(mailbox.with_origin(docs), wellness.HEART_RATE))
+    rows = wellness.explode_heart_rate(mailbox.with_origin(docs))
     table = merge.first_per_key(rows, ["user_id", "timestamp"], ["value", *ORDER])
     return table.groupBy("user_id", F.col("timestamp").cast("date").alias("day")).agg(
         F.count(F.lit(1)).alias("n_readings"),

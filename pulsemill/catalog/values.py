@@ -141,7 +141,7 @@ def extract_nested_struct(t: Tables) -> DataFrame:
     score = F.struct(F.col("o_orderpriority").alias("qualifierKey"), F.col("o_custkey").alias("value"))
     scores = F.when(F.col("o_orderstatus") != "P", F.struct(score.alias("overall")))
     content = F.to_json(F.struct(F.struct(scores.alias("sleepScores")).alias("dailySleepDTO")))
-    docs = sleep.parse_sleep(as_docs(t.orders, content, "o_custkey", "o_orderkey"))
+    docs = parse(as_docs(t.orders, content, "o_custkey", "o_orderkey"), sleep.SESSION)
     wanted = [p for p in fl.SLEEP_SCORES if p[0] in ("overall", "deepPercentage") and p[2] != "deep_pct_value"]
     return docs.select("o_orderkey", *sleep.nested_parts("doc.dailySleepDTO.sleepScores", wanted))
 
@@ -155,7 +155,7 @@ def override_by_outer_field(t: Tables) -> DataFrame:
             F.when(F.col("event_type") == "click", F.col("value") + 1).alias("avgOvernightHrv"),
         )
     )
-    rows = sleep.project_sleep_session(sleep.parse_sleep(as_docs(t.events, content, "event_id")))
+    rows = sleep.project_sleep_session(as_docs(t.events, content, "event_id"))
     return rows.select(F.col("user_id").alias("event_id"), "avg_overnight_hrv")
 
 
@@ -175,7 +175,7 @@ def first_map_entry(t: Tables) -> DataFrame:
     content = F.to_json(
         F.struct(F.struct(devices.alias("metricsTrainingLoadBalanceDTOMap")).alias("mostRecentTrainingLoadBalance"))
     )
-    docs = parse(as_docs(t.orders, content, "o_orderkey"), training.STATUS)
+    docs = as_docs(t.orders, content, "o_orderkey")
     rows = training.project_training_load(docs, "balance")
     return rows.select(F.col("user_id").alias("o_orderkey"), "date", "monthly_load_anaerobic")
 
@@ -390,7 +390,7 @@ def skip_empty_document(t: Tables) -> DataFrame:
         .when(kind == "error", F.lit("null"))
         .otherwise(filled)
     )
-    docs = parse(as_docs(t.events, content, "event_id"), training.RACE)
+    docs = as_docs(t.events, content, "event_id")
     rows = training.project_race_prediction(docs)
     return rows.select(F.col("user_id").alias("event_id"), "date", "time_5k")
 

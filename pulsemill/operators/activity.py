@@ -12,7 +12,7 @@ from pulsemill.functions.scalars import (
     camel_to_snake,
     derive_end_timestamp,
     iso_to_utc_timestamp,
-    numeric_to_double,
+    numeric_kind,
     timezone_offset_hours,
     unfit,
 )
@@ -23,16 +23,16 @@ from pulsemill.operators.documents import (
     any_unfit,
     columns_of,
     failures,
+    parse,
     spread,
     struct_ddl,
 )
 
 _TYPE = "struct<typeId: string, typeKey: string>"
-_ALL_SPORT = list({f.json: f for sport in fl.SPORTS.values() for f in sport}.values())
-ACTIVITY = (
-    f"activityId string, activityType {_TYPE}, eventType {_TYPE}, startTimeGMT string, startTimeLocal string, "
-    f"endTimeGMT string, {struct_ddl([*fl.ACTIVITY_REQUIRED, *fl.ACTIVITY_OPTIONAL, *_ALL_SPORT])}"
-)
+_KEYS = f"activityId string, activityType {_TYPE}"
+_TIMES = "startTimeGMT string, startTimeLocal string, endTimeGMT string"
+_CORE = f"{_KEYS}, eventType {_TYPE}, {_TIMES}, {struct_ddl([*fl.ACTIVITY_REQUIRED, *fl.ACTIVITY_OPTIONAL])}"
+_SPORT_FIELDS = list({f.json: f for sport in fl.SPORTS.values() for f in sport}.values())
 REQUIRED_KEYS = [*fl.ACTIVITY_KEYS, *[f.json for f in fl.ACTIVITY_REQUIRED]]
 
 _CONSUMED = [
@@ -43,13 +43,17 @@ _CONSUMED = [
 
 
 def split_list(docs: DataFrame) -> DataFrame:
-    """One row per list element: `text`, the element as JSON, and `act`, its known fields as text."""
-    items = F.from_json("content", "array<string>")
-    return spread(docs, items, "text").withColumn("act", F.from_json("text", ACTIVITY))
+    """One row per list element: `text`, the element as JSON."""
+    return spread(docs, F.from_json("content", "array<string>"), "text")
+
+
+def _read(activities: DataFrame, ddl: str) -> DataFrame:
+    """Add `act`, the named fields of the element as text."""
+    return parse(activities, ddl, "text", "act")
 
 
-def with_sport(activities: DataFrame) -> DataFrame:
-    return activities.withColumn("sport", checks.sport_branch(F.coalesce(F.col("act.activityType.typeKey"), F.lit(""))))
+def _sport() -> Column:
+    return checks.sport_branch(F.coalesce(F.col("act.activityType.typeKey"), F.lit("")))
 
 
 def _start() -> Column:
@@ -66,7 +70,7 @@ def _end() -> Column:
 def explode_activities(activities: DataFrame) -> DataFrame:
     """The activity row; a missing end time is start plus duration."""
     act = F.col("act")
-    return activities.select(
+    return _read(activities, _CORE).select(
         *ORDER,
         assign(act["activityId"], "bigint").alias("activity_id"),
         "user_id",
@@ -85,27 +89,25 @@ def explode_activities(activities: DataFrame) -> DataFrame:
 
 def project_sport_metrics(activities: DataFrame, sport: str) -> DataFrame:
     """Metrics of the activities of one sport."""
-    act = F.col("act")
-    return with_sport(activities).filter(F.col("sport") == sport).select(
-        *ORDER, assign(act["activityId"], "bigint").alias("activity_id"), *columns_of("act", fl.SPORTS[sport])
-    )
+    rows = _read(activities, f"{_KEYS}, {struct_ddl(fl.SPORTS[sport])}").filter(_sport() == sport)
+    identity = assign(F.col("act.activityId"), "bigint").alias("activity_id")
+    return rows.select(*ORDER, identity, *columns_of("act", fl.SPORTS[sport]))
 
 
-def consumed_names(sport: Column) -> Column:
-    """Names of the fields that the activity row and the metrics of the sport already hold."""
-    names = F.lit(list(_CONSUMED))
+def consumed(name: Column, sport: Column) -> Column:
+    """The activity row or the metrics of the sport already hold the field."""
+    taken = name.isin(*_CONSUMED)
     for key, fields in fl.SPORTS.items():
-        own = F.lit([*_CONSUMED, *[f.json for f in fields]])
-        names = F.when(sport == key, own).otherwise(names)
-    return names
+        taken = taken | ((sport == key) & name.isin(*[f.json for f in fields]))
+    return taken
 
 
 def unpivot_residual_metrics(activities: DataFrame) -> DataFrame:
     """Every number or boolean that nothing else stored, as (activity, metric, value)."""
-    sorted_out = with_sport(activities).select(
+    sorted_out = _read(activities, _KEYS).select(
         F.struct(*ORDER).alias("origin"),
         assign(F.col("act.activityId"), "bigint").alias("activity_id"),
-        "sport",
+        _sport().alias("sport"),
         F.try_parse_json("text").alias("whole"),
     )
     entry = activities.sparkSession.tvf.variant_explode(F.col("whole").outer())
@@ -113,15 +115,16 @@ def unpivot_residual_metrics(activities: DataFrame) -> DataFrame:
         "origin.*", "activity_id", "sport", "key", F.col("value").alias("entry")
     )
     return (
-        entries.filter(~F.array_contains(consumed_names(F.col("sport")), F.col("key")))
+        entries.filter(~consumed(F.col("key"), F.col("sport")))
         .filter(checks.keep_unlisted(F.col("key"), parts=["ownerProfileImageUrl"]))
-        .withColumn("number", numeric_to_double(F.col("entry")))
-        .filter(F.col("number").isNotNull())
+        .filter(numeric_kind(F.col("entry")))
+        .withColumn("number", F.try_variant_get("entry", "$", "double"))
         .select(*ORDER, "activity_id", camel_to_snake(F.col("key")).alias("metric"), F.col("number").alias("value"))
     )
 
 
 def activity_failures(docs: DataFrame, activities: DataFrame) -> DataFrame:
+    activities = _read(activities, f"{_CORE}, {struct_ddl(_SPORT_FIELDS)}")
     act = F.col("act")
     sports = any_of(
         [

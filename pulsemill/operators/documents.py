@@ -27,11 +27,16 @@ class Decoded:
     failures: list[DataFrame] = field(default_factory=list)
 
 
-def parse(docs: DataFrame, ddl: str) -> DataFrame:
+def parse(docs: DataFrame, ddl: str, source: str = "content", name: str = "doc") -> DataFrame:
     """Add `doc`, the content read with a schema. Leaves are read as text, so that a value of the
-    wrong kind is noticed by `unfit` and does not silently become NULL."""
+    wrong kind is noticed by `unfit` and does not silently become NULL.
+
+    The parse is the input of a one-element explode: filters on its fields cannot be pushed below a
+    generator, so each document is parsed once. Every caller names only the fields it needs.
+    """
     options = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
-    return docs.withColumn("doc", F.from_json("content", f"{ddl}, {CORRUPT} string", options))
+    parsed = F.from_json(source, f"{ddl}, {CORRUPT} string", options)
+    return docs.select("*", F.explode(F.array(parsed)).alias(name))
 
 
 def struct_ddl(fields: Iterable[Field | str]) -> str:

@@ -28,7 +28,7 @@ def project_user_profile(docs: DataFrame) -> DataFrame:
         lowercase_or_null(c).alias("gender") if f.column == "gender" else c
         for f, c in zip(fl.USER_DATA, columns_of("doc.userData", fl.USER_DATA))
     ]
-    return docs.select(
+    return parse(docs, PROFILE).select(
         *ORIGIN,
         F.lit(0).alias("pos"),
         F.xxhash64("user_id", "file_set_ts", "file_name").alias("user_profile_id"),
@@ -38,7 +38,7 @@ def project_user_profile(docs: DataFrame) -> DataFrame:
 
 
 def project_demographics(docs: DataFrame) -> DataFrame:
-    return docs.select(
+    return parse(docs, "full_name string, userData struct<birthDate: string>").select(
         *ORIGIN,
         F.lit(0).alias("pos"),
         "user_id",
@@ -53,6 +53,7 @@ def _bad_birth_date() -> Column:
 
 
 def profile_failures(docs: DataFrame) -> DataFrame:
+    docs = parse(docs, PROFILE)
     return failures(
         docs,
         {
@@ -65,6 +66,5 @@ def profile_failures(docs: DataFrame) -> DataFrame:
 
 
 def decode_user_profile(docs: DataFrame) -> Decoded:
-    docs = parse(docs, PROFILE)
     rows = {"user_profile": project_user_profile(docs), "user.demographics": project_demographics(docs)}
     return Decoded(rows, [profile_failures(docs)])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,16 +57,13 @@ SERIES = {
 # Series whose times are ISO texts; the others count milliseconds.
 ISO_SERIES = ["sleep_movement", "spo2"]
 
-SLEEP = (
-    f"dailySleepDTO struct<{_DAILY}>, wellnessSpO2SleepSummaryDTO struct<{_SUMMARY}>, "
-    + struct_ddl(fl.SLEEP_ROOT)
-    + ", "
-    + ", ".join(f"{array} array<map<string,string>>" for array, *_ in SERIES.values())
+SESSION = (
+    f"dailySleepDTO struct<{_DAILY}>, wellnessSpO2SleepSummaryDTO struct<{_SUMMARY}>, " + struct_ddl(fl.SLEEP_ROOT)
 )
 
 
-def parse_sleep(docs: DataFrame) -> DataFrame:
-    return parse(docs, SLEEP)
+def _elements(tables: Iterable[str]) -> str:
+    return ", ".join(f"{SERIES[table][0]} array<map<string,string>>" for table in tables)
 
 
 _DTO = "doc.dailySleepDTO"
@@ -94,6 +91,7 @@ def nested_parts(path: str, parts: list[tuple[str, str, str, str]]) -> list[Colu
 
 def project_sleep_session(docs: DataFrame) -> DataFrame:
     """The session row. Root values replace those inside the session, also when they are NULL."""
+    docs = parse(docs, SESSION)
     daily = _daily()
     start = epoch_ms_to_timestamp(daily["sleepStartTimestampGMT"])
     local = epoch_ms_to_timestamp(daily["sleepStartTimestampLocal"])
@@ -123,7 +121,8 @@ def explode_sleep_series(docs: DataFrame, table: str) -> DataFrame:
     array, time_field, value_field, kind, column = SERIES[table]
     start = epoch_ms_to_timestamp(_daily()["sleepStartTimestampGMT"])
     rows = (
-        docs.filter(_has_session())
+        parse(docs, f"dailySleepDTO struct<{struct_ddl(_TIMES)}>, {_elements([table])}")
+        .filter(_has_session())
         .withColumn("sleep_id", sleep_key(F.col("user_id"), start))
         .select(*ORIGIN, "sleep_id", F.posexplode(F.col(f"doc.{array}")).alias("pos", "item"))
     )
@@ -179,6 +178,7 @@ def _bad_element(table: str) -> Callable[[Column], Column]:
 
 def sleep_failures(docs: DataFrame) -> DataFrame:
     """A session needs its three time keys and a local start; objects may be absent but not NULL."""
+    docs = parse(docs, f"{SESSION}, {_elements(SERIES)}")
     daily = _daily()
     whole = F.try_parse_json("content")
 
@@ -221,7 +221,6 @@ def resolve_surrogate_key(
 
 
 def decode_sleep(docs: DataFrame) -> Decoded:
-    docs = parse_sleep(docs)
     rows = {"sleep": project_sleep_session(docs)}
     for table in SERIES:
         rows[table] = explode_sleep_series(docs, table)

@@ -45,11 +45,12 @@ def _struct(fields: list, *extra: str) -> str:
 _VO2 = "struct<calendarDate: string, vo2MaxPreciseValue: string>"
 _BALANCE = _struct(fl.LOAD_BALANCE, "calendarDate: string")
 _STATUS = _struct(fl.LOAD_STATUS, "calendarDate: string", f"acuteTrainingLoadDTO: {_struct(fl.LOAD_RATIO)}")
+_ACCLIMATION = _struct(fl.ACCLIMATION, "calendarDate: string")
+_BALANCES = f"mostRecentTrainingLoadBalance struct<metricsTrainingLoadBalanceDTOMap: map<string, {_BALANCE}>>"
+_STATUSES = f"mostRecentTrainingStatus struct<latestTrainingStatusData: map<string, {_STATUS}>>"
 STATUS = (
-    f"mostRecentVO2Max struct<generic: {_VO2}, cycling: {_VO2}, "
-    f"heatAltitudeAcclimation: {_struct(fl.ACCLIMATION, 'calendarDate: string')}>, "
-    f"mostRecentTrainingLoadBalance struct<metricsTrainingLoadBalanceDTOMap: map<string, {_BALANCE}>>, "
-    f"mostRecentTrainingStatus struct<latestTrainingStatusData: map<string, {_STATUS}>>"
+    f"mostRecentVO2Max struct<generic: {_VO2}, cycling: {_VO2}, heatAltitudeAcclimation: {_ACCLIMATION}>, "
+    f"{_BALANCES}, {_STATUSES}"
 )
 RACE = f"calendarDate string, {struct_ddl(fl.RACE_TIMES)}"
 
@@ -64,12 +65,14 @@ def _dated(docs: DataFrame, holder: Column, columns: list[Column]) -> DataFrame:
 
 def project_vo2_max(docs: DataFrame, kind: str) -> DataFrame:
     """`kind` is generic or cycling; each has its own date and its own column."""
+    docs = parse(docs, f"mostRecentVO2Max struct<{kind}: {_VO2}>")
     holder = F.col(f"doc.mostRecentVO2Max.{kind}")
     value = assign(holder["vo2MaxPreciseValue"], "double").alias(f"vo2_max_{kind}")
     return _dated(docs, holder, [value])
 
 
 def project_acclimation(docs: DataFrame) -> DataFrame:
+    docs = parse(docs, f"mostRecentVO2Max struct<heatAltitudeAcclimation: {_ACCLIMATION}>")
     path = "doc.mostRecentVO2Max.heatAltitudeAcclimation"
     return _dated(docs, F.col(path), columns_of(path, fl.ACCLIMATION))
 
@@ -85,15 +88,15 @@ def _status() -> Column:
 def project_training_load(docs: DataFrame, group: str) -> DataFrame:
     """`group` is balance or status, both of the first device the document lists."""
     if group == "balance":
-        staged = docs.withColumn("device", _balance())
+        staged = parse(docs, _BALANCES).withColumn("device", _balance())
         return _dated(staged, F.col("device"), columns_of("device", fl.LOAD_BALANCE))
-    staged = docs.withColumn("device", _status())
+    staged = parse(docs, _STATUSES).withColumn("device", _status())
     ratio = columns_of("device.acuteTrainingLoadDTO", fl.LOAD_RATIO)
     return _dated(staged, F.col("device"), [*ratio, *columns_of("device", fl.LOAD_STATUS)])
 
 
 def status_failures(docs: DataFrame) -> DataFrame:
-    docs = docs.withColumns({"balance": _balance(), "status": _status()})
+    docs = parse(docs, STATUS).withColumns({"balance": _balance(), "status": _status()})
     vo2, balance, status = F.col("doc.mostRecentVO2Max"), F.col("balance"), F.col("status")
 
     def bad_date(holder: Column) -> Column:
@@ -121,7 +124,6 @@ def status_failures(docs: DataFrame) -> DataFrame:
 
 
 def decode_training_status(docs: DataFrame) -> Decoded:
-    docs = parse(docs, STATUS)
     rows = {
         "vo2_max.generic": project_vo2_max(docs, "generic"),
         "vo2_max.cycling": project_vo2_max(docs, "cycling"),
@@ -132,7 +134,7 @@ def decode_training_status(docs: DataFrame) -> Decoded:
     return Decoded(rows, [status_failures(docs)])
 
 
-def parse_objects(docs: DataFrame) -> DataFrame:
+def _objects(docs: DataFrame) -> DataFrame:
     """Documents that are lists of flat objects: `items`, each a map from name to raw text."""
     return docs.withColumn("items", F.from_json("content", "array<map<string,string>>"))
 
@@ -149,7 +151,7 @@ def explode_training_readiness(docs: DataFrame) -> DataFrame:
     local = empty_to_null(item["timestampLocal"])
     offset = F.when(local.isNull(), F.lit(0.0)).otherwise(timezone_offset_hours(iso_to_utc_timestamp(local), time))
     return (
-        spread(docs, F.col("items"))
+        spread(_objects(docs), F.col("items"))
         .filter(checks.keep_timed_text(item["timestamp"]))
         .select(
             *ORDER,
@@ -168,6 +170,8 @@ def unknown_keys(item: Column) -> Column:
 
 
 def readiness_failures(docs: DataFrame) -> DataFrame:
+    docs = _objects(docs)
+
     def timed(item: Column) -> Column:
         return checks.keep_timed_text(item["timestamp"])
 
@@ -193,7 +197,6 @@ def readiness_failures(docs: DataFrame) -> DataFrame:
 
 
 def decode_training_readiness(docs: DataFrame) -> Decoded:
-    docs = parse_objects(docs)
     return Decoded({"training_readiness": explode_training_readiness(docs)}, [readiness_failures(docs)])
 
 
@@ -202,7 +205,7 @@ def explode_personal_records(docs: DataFrame) -> DataFrame:
     that belong to no activity lose the reference. Whether the activity exists is decided later."""
     item = F.col("item")
     kind = assign(item["typeId"], "int")
-    return spread(docs, F.col("items")).select(
+    return spread(_objects(docs), F.col("items")).select(
         *ORDER,
         "user_id",
         conditional_null_reference(assign(item["activityId"], "bigint"), kind, RECORDS_WITHOUT_ACTIVITY).alias(
@@ -216,6 +219,7 @@ def explode_personal_records(docs: DataFrame) -> DataFrame:
 
 
 def record_failures(docs: DataFrame) -> DataFrame:
+    docs = _objects(docs)
     needed = ["typeId", "activityId", "prStartTimeGmt"]
 
     def bad(item: Column) -> Column:
@@ -242,7 +246,6 @@ def repeated_record_types(records: DataFrame) -> DataFrame:
 
 
 def decode_personal_records(docs: DataFrame) -> Decoded:
-    docs = parse_objects(docs)
     return Decoded({"personal_record": explode_personal_records(docs)}, [record_failures(docs)])
 
 
@@ -252,7 +255,7 @@ def _has_prediction() -> Column:
 
 def project_race_prediction(docs: DataFrame) -> DataFrame:
     doc = F.col("doc")
-    return docs.filter(_has_prediction()).select(
+    return parse(docs.filter(_has_prediction()), RACE).select(
         *ORIGIN,
         F.lit(0).alias("pos"),
         "user_id",
@@ -262,6 +265,7 @@ def project_race_prediction(docs: DataFrame) -> DataFrame:
 
 
 def race_failures(docs: DataFrame) -> DataFrame:
+    docs = parse(docs, RACE)
     doc = F.col("doc")
     return failures(
         docs,
@@ -274,5 +278,4 @@ def race_failures(docs: DataFrame) -> DataFrame:
 
 
 def decode_race_predictions(docs: DataFrame) -> Decoded:
-    docs = parse(docs, RACE)
     return Decoded({"race_predictions": project_race_prediction(docs)}, [race_failures(docs)])

@@ -33,14 +33,11 @@ from pulsemill.operators.documents import (
     unreadable,
 )
 
-HEART_RATE = "heartRateValues array<array<string>>"
-STRESS = "stressValuesArray array<array<string>>, bodyBatteryValuesArray array<array<string>>"
-RESPIRATION = "respirationValuesArray array<array<string>>"
-INTENSITY = (
-    "imValuesArray array<array<string>>, calendarDate string, moderateMinutes string, "
-    "vigorousMinutes string, startDayMinutes string, endDayMinutes string"
+TUPLES = "array<array<string>>"
+TOTALS = (
+    "calendarDate string, moderateMinutes string, vigorousMinutes string, startDayMinutes string, "
+    "endDayMinutes string"
 )
-FLOORS = "floorValuesArray array<array<string>>"
 STEPS = (
     "array<struct<endGMT: string, steps: string, primaryActivityLevel: string, activityLevelConstant: string>>"
 )
@@ -54,10 +51,14 @@ def _bad_ms(ms: Column) -> Column:
     return epoch_ms_to_timestamp(ms).isNull()
 
 
+def _tuples(docs: DataFrame, *fields: str, more: str = "") -> DataFrame:
+    return parse(docs, ", ".join([f"{field} {TUPLES}" for field in fields] + ([more] if more else [])))
+
+
 def _readings(docs: DataFrame, field: str, length: int, value: Column, keep: Column | None = None) -> DataFrame:
     """Rows (owner, time, value) of tuples of at least `length` elements whose first one is epoch ms."""
     item = F.col("item")
-    rows = spread(docs, F.col(f"doc.{field}")).filter(checks.keep_long_enough(item, length))
+    rows = spread(_tuples(docs, field), F.col(f"doc.{field}")).filter(checks.keep_long_enough(item, length))
     if keep is not None:
         rows = rows.filter(keep)
     return rows.select(
@@ -90,6 +91,8 @@ def explode_heart_rate(docs: DataFrame) -> DataFrame:
 
 
 def heart_rate_failures(docs: DataFrame) -> DataFrame:
+    docs = _tuples(docs, "heartRateValues")
+
     def bad(pair: Column) -> Column:
         kept = checks.keep_reading(assign_double(_at(pair, 0)), _at(pair, 1))
         return checks.bad_length(pair, 2) | unfit(_at(pair, 0), "double") | (kept & unfit(_at(pair, 1), "int"))
@@ -119,6 +122,7 @@ def stress_failures(docs: DataFrame) -> DataFrame:
         long = checks.keep_long_enough(triple, 3)
         return triple.isNull() | (long & (_bad_ms(_at(triple, 0)) | unfit(_at(triple, 2), "int")))
 
+    docs = _tuples(docs, "stressValuesArray", "bodyBatteryValuesArray")
     rules = _measured_rules(docs, "stressValuesArray", "int", "stress")
     rules["bad body battery reading"] = exists(F.col("doc.bodyBatteryValuesArray"), bad_level)
     for field in ("stressValuesArray", "bodyBatteryValuesArray"):
@@ -132,6 +136,7 @@ def explode_respiration(docs: DataFrame) -> DataFrame:
 
 
 def respiration_failures(docs: DataFrame) -> DataFrame:
+    docs = _tuples(docs, "respirationValuesArray")
     return failures(docs, _measured_rules(docs, "respirationValuesArray", "double", "respiration"))
 
 
@@ -145,7 +150,8 @@ def project_intensity_totals(docs: DataFrame) -> DataFrame:
     doc = F.col("doc")
     total = null_safe_difference(assign_int(doc["endDayMinutes"]), assign_int(doc["startDayMinutes"]))
     return (
-        docs.filter(empty_to_null(doc["calendarDate"]).isNotNull())
+        parse(docs, TOTALS)
+        .filter(empty_to_null(doc["calendarDate"]).isNotNull())
         .select(
             *ORIGIN,
             F.lit(0).alias("pos"),
@@ -165,6 +171,7 @@ _DAY_MINUTES = [
 
 
 def intensity_failures(docs: DataFrame) -> DataFrame:
+    docs = _tuples(docs, "imValuesArray", more=TOTALS)
     rules = _measured_rules(docs, "imValuesArray", "double", "intensity")
     doc = F.col("doc")
     dated = empty_to_null(doc["calendarDate"]).isNotNull()
@@ -176,7 +183,7 @@ def intensity_failures(docs: DataFrame) -> DataFrame:
 def explode_floors(docs: DataFrame) -> DataFrame:
     """[start, end, up, down] with ISO times; the end is the time of the row."""
     item = F.col("item")
-    rows = spread(docs, F.col("doc.floorValuesArray")).filter(checks.keep_long_enough(item, 4))
+    rows = spread(_tuples(docs, "floorValuesArray"), F.col("doc.floorValuesArray")).filter(checks.keep_long_enough(item, 4))
     return rows.select(
         *ORDER,
         "user_id",
@@ -187,6 +194,8 @@ def explode_floors(docs: DataFrame) -> DataFrame:
 
 
 def floors_failures(docs: DataFrame) -> DataFrame:
+    docs = _tuples(docs, "floorValuesArray")
+
     def bad(values: Column) -> Column:
         long = checks.keep_long_enough(values, 4)
         return values.isNull() | (
@@ -203,14 +212,14 @@ def floors_failures(docs: DataFrame) -> DataFrame:
     )
 
 
-def parse_steps(docs: DataFrame) -> DataFrame:
+def _step_items(docs: DataFrame) -> DataFrame:
     return docs.withColumn("items", F.from_json("content", STEPS))
 
 
 def explode_steps(docs: DataFrame) -> DataFrame:
     """Interval objects; those without an end or a count are dropped."""
     item = F.col("item")
-    rows = spread(docs, F.col("items")).filter(checks.keep_interval(item["endGMT"], item["steps"]))
+    rows = spread(_step_items(docs), F.col("items")).filter(checks.keep_interval(item["endGMT"], item["steps"]))
     return rows.select(
         *ORDER,
         "user_id",
@@ -222,6 +231,8 @@ def explode_steps(docs: DataFrame) -> DataFrame:
 
 
 def steps_failures(docs: DataFrame) -> DataFrame:
+    docs = _step_items(docs)
+
     def bad(item: Column) -> Column:
         kept = checks.keep_interval(item["endGMT"], item["steps"])
         return item.isNull() | (
@@ -246,23 +257,19 @@ def steps_failures(docs: DataFrame) -> DataFrame:
 
 
 def decode_heart_rate(docs: DataFrame) -> Decoded:
-    docs = parse(docs, HEART_RATE)
     return Decoded({"heart_rate": explode_heart_rate(docs)}, [heart_rate_failures(docs)])
 
 
 def decode_stress(docs: DataFrame) -> Decoded:
-    docs = parse(docs, STRESS)
     rows = {"stress": explode_stress(docs), "body_battery": explode_body_battery(docs)}
     return Decoded(rows, [stress_failures(docs)])
 
 
 def decode_respiration(docs: DataFrame) -> Decoded:
-    docs = parse(docs, RESPIRATION)
     return Decoded({"respiration": explode_respiration(docs)}, [respiration_failures(docs)])
 
 
 def decode_intensity(docs: DataFrame) -> Decoded:
-    docs = parse(docs, INTENSITY)
     rows = {
         "intensity_minutes": explode_intensity_minutes(docs),
         "training_load.intensity": project_intensity_totals(docs),
@@ -271,10 +278,8 @@ def decode_intensity(docs: DataFrame) -> Decoded:
 
 
 def decode_floors(docs: DataFrame) -> Decoded:
-    docs = parse(docs, FLOORS)
     return Decoded({"floors": explode_floors(docs)}, [floors_failures(docs)])
 
 
 def decode_steps(docs: DataFrame) -> Decoded:
-    docs = parse_steps(docs)
     return Decoded({"steps": explode_steps(docs)}, [steps_failures(docs)])

@@ -11,8 +11,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemill.functions.names import classify_file_type, extract_file_timestamp, parse_filename
-from pulsemill.registry import file_patterns, type_rank
+from pulsemill.functions.names import (
+    classify_file_type,
+    extract_file_timestamp,
+    parse_filename,
+    registered_type,
+)
+from pulsemill.registry import type_rank
 
 RAW = "file_name string, path string, mtime timestamp, length bigint, content string"
 
@@ -65,7 +70,7 @@ def with_origin(raw: DataFrame, patterns: Mapping[str, str] | None = None) -> Da
     parsed = parse_filename(name)
     return raw.select(
         "*",
-        classify_file_type(name, patterns or file_patterns()).alias("file_type"),
+        (classify_file_type(name, patterns) if patterns else registered_type(name)).alias("file_type"),
         extract_file_timestamp(name, F.col("mtime"), F.col("path")).alias("file_set_ts"),
         parsed["user_id"].alias("user_id"),
         parsed["data_type"].alias("data_type"),
