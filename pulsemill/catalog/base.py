@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.functions.names import activity_file_name, standard_file_name
+from pulsemill.plans.once import with_columns_once
 from pulsemill.session import prepare_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,12 +78,13 @@ def event_files(t: Tables) -> DataFrame:
     name = F.when(kind == "ACTIVITY", activity_file_name(F.col("user_id"), F.col("event_id"), day)).otherwise(
         standard_file_name(F.col("user_id"), kind, day)
     )
-    return t.events.select(
+    named = with_columns_once(over_all_cores(t.events), {"file_name": name})
+    return named.select(
         "event_id",
         "user_id",
         "event_type",
-        name.alias("file_name"),
-        F.concat(F.lit("/in/"), F.col("event_id").cast("string"), F.lit("/"), name).alias("path"),
+        "file_name",
+        F.concat(F.lit("/in/"), F.col("event_id").cast("string"), F.lit("/"), "file_name").alias("path"),
         day.alias("mtime"),
         F.floor("value").cast("bigint").alias("length"),
     )
@@ -103,9 +105,18 @@ named as (select *, '/in/' || event_id || '/' || file_name as path from files)
 """
 
 
+def over_all_cores(rows: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer tasks than there are cores, as the one-file tables do here; large
+    tables have many tasks and are left alone. Building and parsing documents is all CPU."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores, *rows.columns[:2])
+
+
 def as_docs(rows: DataFrame, content: Column, user: str, *keep: str) -> DataFrame:
     """Documents of one row each, at a fixed set time."""
-    return rows.select(
+    return over_all_cores(rows).select(
         F.lit("2024-01-01 12:00:00").cast("timestamp").alias("file_set_ts"),
         F.lit(1).alias("type_rank"),
         F.lit("document").alias("file_name"),

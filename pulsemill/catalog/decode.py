@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill import fields as fl
-from pulsemill.catalog.base import Tables, as_docs, millis, ntz, query
+from pulsemill.catalog.base import Tables, as_docs, millis, ntz, over_all_cores, query
 from pulsemill.operators import activity, frames, profile, sleep, training, wellness
 
 MS = "(epoch_us(ts) // 1000)"
@@ -539,7 +539,7 @@ def unpivot_record_frames(t: Tables) -> DataFrame:
         _field("Unknown_17", F.col("l_linenumber"), "int"),
         _field(F.lit(None).cast("string"), F.col("l_linenumber"), "int"),
     )
-    rows = t.lineitem.select(
+    rows = over_all_cores(t.lineitem).select(
         F.col("l_orderkey").alias("activity_id"),
         F.col("l_linenumber").cast("bigint").alias("frame_seq"),
         F.lit("record").alias("frame_name"),
@@ -561,7 +561,7 @@ def event_frames(t: Tables) -> DataFrame:
         _field("unknown_3", number, "int"),
         _list_field("zone", F.array(number, F.lit(None).cast("string"), F.lit("7"), F.lit("bad"), F.lit("9"))),
     )
-    return t.events.select(
+    return over_all_cores(t.events).select(
         F.col("user_id").alias("activity_id"),
         F.col("event_id").alias("frame_seq"),
         F.when(kind.isin("click", "view"), F.lit("split")).otherwise(F.lit("lap")).alias("frame_name"),

@@ -19,6 +19,7 @@ from pulsemill.catalog.base import (
 from pulsemill.functions import names
 from pulsemill.operators import merge, wellness
 from pulsemill.plans.numbering import number_rows
+from pulsemill.plans.once import with_columns_once
 from pulsemill.registry import DATA_TYPES, PROCESS_ORDER, type_rank
 from pulsemill.session import scratch_path
 from pulsemill.sources import chunks, ledger, mailbox
@@ -107,11 +108,13 @@ def route_ingest(t: Tables) -> DataFrame:
 
 def _set_files(t: Tables) -> DataFrame:
     """Event files with their type and set time."""
-    files = event_files(t)
-    return files.select(
-        "*",
-        names.registered_type(F.col("file_name")).alias("file_type"),
-        names.extract_file_timestamp(F.col("file_name"), F.col("mtime"), F.col("path")).alias("file_set_ts"),
+    name = F.col("file_name")
+    return with_columns_once(
+        event_files(t),
+        {
+            "file_type": names.registered_type(name),
+            "file_set_ts": names.extract_file_timestamp(name, F.col("mtime"), F.col("path")),
+        },
     )
 
 

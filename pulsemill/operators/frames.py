@@ -62,7 +62,7 @@ def unpivot_record_frames(frames: DataFrame, keep: Sequence[str] = ("activity_id
     field = F.col("field")
     return (
         frames.filter(F.col("frame_name") == "record")
-        .withColumn("timestamp", record_time())
+        .select("*", F.explode(F.array(record_time())).alias("timestamp"))
         .filter(F.col("timestamp").isNotNull())
         .select(*keep, "timestamp", F.explode("fields").alias("field"))
         .filter(checks.keep_known_name(field["name"]) & (field["name"] != "timestamp"))

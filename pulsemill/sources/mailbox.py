@@ -17,6 +17,7 @@ from pulsemill.functions.names import (
     parse_filename,
     registered_type,
 )
+from pulsemill.plans.once import with_columns_once
 from pulsemill.registry import type_rank
 
 RAW = "file_name string, path string, mtime timestamp, length bigint, content string"
@@ -68,12 +69,9 @@ def with_origin(raw: DataFrame, patterns: Mapping[str, str] | None = None) -> Da
     """Add file type, set time and type rank from the name, and its parsed parts."""
     name = F.col("file_name")
     parsed = parse_filename(name)
-    return raw.select(
-        "*",
-        (classify_file_type(name, patterns) if patterns else registered_type(name)).alias("file_type"),
-        extract_file_timestamp(name, F.col("mtime"), F.col("path")).alias("file_set_ts"),
-        parsed["user_id"].alias("user_id"),
-        parsed["data_type"].alias("data_type"),
-        parsed["file_time"].alias("file_time"),
-        parsed["file_extension"].alias("file_extension"),
-    ).withColumn("type_rank", type_rank(F.col("file_type")))
+    derived = {
+        "file_type": classify_file_type(name, patterns) if patterns else registered_type(name),
+        "file_set_ts": extract_file_timestamp(name, F.col("mtime"), F.col("path")),
+        **parsed,
+    }
+    return with_columns_once(raw, derived).withColumn("type_rank", type_rank(F.col("file_type")))
