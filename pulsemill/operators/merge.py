@@ -73,10 +73,10 @@ def _fold(
     fixed: Sequence[str],
     newer_on: str | None,
 ) -> DataFrame:
-    """One row per submitted key, as a sequence of single upserts into an empty table leaves it.
+    """One row per submitted key: the fixed columns of its first row, the changing ones of its last.
 
-    The first row of a key inserts all columns; later rows touch only the changing ones. With
-    `newer_on`, a later row counts only if it is strictly newer.
+    With `newer_on`, the changing columns come from the newest row, the first of equals, and `_first`
+    holds the first row: if that one inserts the key without a version, no later row replaces it.
     """
     if newer_on is None:
         folded = source.groupBy(*keys).agg(
@@ -85,19 +85,17 @@ def _fold(
         )
         return folded.select(*keys, "_fixed.*", "_changing.*").drop("_none")
     whole = _others(source.columns, keys)
-    # Equal versions keep the first arrival; an unversioned first row can never be replaced.
     per_version = source.groupBy(*keys, F.col(newer_on).alias("_version")).agg(
         F.min_by(_pack(whole), _pack(order)).alias("_row"), F.min(_pack(order)).alias("_at")
     )
     folded = per_version.groupBy(*keys).agg(
         F.min_by("_row", "_at").alias("_first"), F.max_by("_row", "_version").alias("_newest")
     )
-    stuck = F.col(f"_first.{newer_on}").isNull()
-    last = F.when(stuck, F.col("_first")).otherwise(F.col("_newest"))
     return folded.select(
         *keys,
+        "_first",
         *[F.col("_first")[c].alias(c) for c in fixed],
-        *[last[c].alias(c) for c in changing],
+        *[F.col("_newest")[c].alias(c) for c in changing],
     )
 
 
@@ -133,11 +131,12 @@ def upsert(
         condition = condition & (F.col(key) == F.col(names[key]))
     both = old.join(new, condition, "right" if touched_only else "full")
 
+    inserted = F.col("_old").isNull()
     applies = F.col("_new").isNotNull()
+    stuck = F.lit(False)
     if newer_on is not None:
-        applies = applies & F.coalesce(
-            F.col("_old").isNull() | (F.col(names[newer_on]) > F.col(newer_on)), F.lit(False)
-        )
+        applies = applies & F.coalesce(inserted | (F.col(names[newer_on]) > F.col(newer_on)), F.lit(False))
+        stuck = inserted & F.col(names["_first"])[newer_on].isNull()
     out = []
     for column in target.columns:
         if column in keys:
@@ -145,9 +144,11 @@ def upsert(
         elif column not in names:
             out.append(F.col(column))
         elif column in changing:
-            out.append(F.when(applies, F.col(names[column])).otherwise(F.col(column)).alias(column))
+            value = F.col(names[column])
+            if newer_on is not None:
+                value = F.when(stuck, F.col(names["_first"])[column]).otherwise(value)
+            out.append(F.when(applies, value).otherwise(F.col(column)).alias(column))
         else:
-            inserted = F.col("_old").isNull()
             out.append(F.when(inserted, F.col(names[column])).otherwise(F.col(column)).alias(column))
     return both.select(*out)
 
