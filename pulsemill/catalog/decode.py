@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulsemill import fields as fl
 from pulsemill.catalog.base import Tables, as_docs, millis, ntz, over_all_cores, query
 from pulsemill.operators import activity, frames, profile, sleep, training, wellness
+from pulsemill.registry import RECORD_LABELS
 
 MS = "(epoch_us(ts) // 1000)"
 VALUE = "cast(floor(value) as integer)"
@@ -320,12 +321,14 @@ def explode_training_readiness(t: Tables) -> DataFrame:
     )
 
 
-@query("""
+_LABELS = ", ".join(f"({key}, '{label}')" for key, label in RECORD_LABELS.items())
+
+
+@query(f"""
+with labels_of(type_no, label) as (values {_LABELS})
 select o_custkey as user_id, case when day(o_orderdate) not in (12, 13, 14, 15, 16) then o_orderkey end as activity_id,
-  o_orderdate as ts, cast(day(o_orderdate) as integer) as type_id,
-  case day(o_orderdate) when 1 then 'Run: 1 km' when 12 then 'Steps: Most in a Day' when 26 then 'Swim: 1650 yd' end as label,
-  o_totalprice as value
-from orders
+  o_orderdate as ts, cast(day(o_orderdate) as integer) as type_id, label, o_totalprice as value
+from orders left join labels_of on day(o_orderdate) = type_no
 """)
 def explode_personal_records(t: Tables) -> DataFrame:
     item = F.struct(
@@ -335,9 +338,8 @@ def explode_personal_records(t: Tables) -> DataFrame:
         F.col("o_totalprice").alias("value"),
     )
     docs = as_docs(t.orders, F.to_json(F.array(item)), "o_custkey")
-    label = F.when(F.col("type_id").isin(1, 12, 26), F.col("label"))
     return training.explode_personal_records(docs).select(
-        "user_id", "activity_id", ntz(F.col("timestamp")).alias("ts"), "type_id", label.alias("label"), "value"
+        "user_id", "activity_id", ntz(F.col("timestamp")).alias("ts"), "type_id", "label", "value"
     )
 
 

@@ -45,14 +45,20 @@ def number_rows(
         )
         offsets = here if offsets is None else _attach(here, offsets, [*within, *parent])
     start = sum((F.col(f"_before{d}") for d in range(1, len(marks))), F.col("_before0"))
-    offsets = offsets.select(*within, *marks, start.alias("_start"))
 
-    inside = Window.partitionBy(*within, *marks).orderBy(*order)
-    numbered = tagged.withColumn("_rank", F.row_number().over(inside))
+    # The offset of a group travels as one more row, sorted first, so that numbering and adding the
+    # offset take one shuffle and one sort of the data and no join.
+    heads = offsets.select(*within, *marks, start.alias("_start"))
+    rows = tagged.withColumn("_start", F.lit(None).cast("bigint")).unionByName(heads, allowMissingColumns=True)
+    inside = Window.partitionBy(*within, *marks).orderBy(F.col("_start").desc_nulls_last(), *order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.withColumns(
+        {"_rank": F.row_number().over(inside), "_offset": F.max("_start").over(so_far)}
+    )
     return (
-        _attach(numbered, offsets, [*within, *marks])
-        .withColumn(name, F.col("_start") + F.col("_rank"))
-        .drop("_start", "_rank", *marks)
+        placed.filter(F.col("_start").isNull())
+        .withColumn(name, F.col("_offset") + F.col("_rank") - 1)
+        .drop("_start", "_rank", "_offset", *marks)
     )
 
 

@@ -11,12 +11,19 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.schema import TABLES, Table
-from pulsemill.sources.chunks import chunk_of, cluster_chunks, id_chunk_of
+from pulsemill.sources.chunks import (
+    CHUNK_DAYS,
+    COMPACT_AFTER_DAYS,
+    chunk_of,
+    cluster_chunks,
+    id_chunk_of,
+)
 
 WHOLE = "all"
 
@@ -85,6 +92,15 @@ class Store:
         frame = self.spark.read.schema(f"{schema}, run string").option("basePath", base).parquet(*paths)
         return frame.drop("run")
 
+    def read_range(self, name: str, low: date, high: date) -> DataFrame:
+        """Rows of a time table with low <= time < high; only the chunks of that range are opened."""
+        column = F.col(TABLES[name].chunk_on)
+        listed = self.manifest()
+        first = low - timedelta(days=CHUNK_DAYS)
+        chunks = [c for c in listed.get(name, {}) if first.isoformat() < c < high.isoformat()]
+        frame = self.read(name, chunks, listed)
+        return frame.filter((column >= F.lit(low)) & (column < F.lit(high)))
+
     def register_views(self) -> None:
         """Every table as a temporary view, for Spark SQL."""
         manifest = self.manifest()
@@ -93,14 +109,20 @@ class Store:
 
     # Writing.
 
-    def write(self, name: str, rows: DataFrame, run: str) -> dict[str, list[str]]:
+    def write(self, name: str, rows: DataFrame, run: str, codec: str = "snappy") -> dict[str, list[str]]:
         """Write rows as folders of this run and list them by chunk; nothing is visible yet."""
         table = TABLES[name]
         chunked = rows.select(*table.names, chunk_column(table).alias("chunk"))
         path = f"{self.root}/{name}/run={run}"
         keys = [c for c in (table.segment, table.chunk_on, *table.keys) if c]
         clustered = cluster_chunks(chunked, [], list(dict.fromkeys(keys)))
-        clustered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("chunk").parquet(path)
+        (
+            clustered.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .option("compression", codec)
+            .partitionBy("chunk")
+            .parquet(path)
+        )
         jvm, _, fs = self._fs()
         listed = fs.listStatus(jvm.org.apache.hadoop.fs.Path(path))
         names = [s.getPath().getName() for s in listed if s.isDirectory()]
@@ -115,6 +137,31 @@ class Store:
         return [r[0] for r in found.distinct().toLocalIterator()]
 
 
+    # Upkeep of time tables.
+
+    def compact(self, name: str, today: date, days: int = COMPACT_AFTER_DAYS) -> list[str]:
+        """Rewrite the chunks older than `days` that are made of several folders as one sorted zstd
+        folder each, and publish; returns the chunks."""
+        version, listed = self.version(), self.manifest()
+        last = (today - timedelta(days=days + CHUNK_DAYS)).isoformat()
+        old = [c for c, folders in listed.get(name, {}).items() if c <= last and len(folders) > 1]
+        if old:
+            rows = self.read(name, old, listed)
+            replaced(listed, name, old, self.write(name, rows, f"compact-{uuid.uuid4().hex}", "zstd"))
+            self.publish(listed, version + 1)
+        return old
+
+    def expire(self, name: str, today: date, days: int) -> list[str]:
+        """Stop listing the chunks that ended more than `days` ago; returns them."""
+        version, listed = self.version(), self.manifest()
+        last = (today - timedelta(days=days + CHUNK_DAYS)).isoformat()
+        gone = [c for c in listed.get(name, {}) if c <= last]
+        if gone:
+            replaced(listed, name, gone, {})
+            self.publish(listed, version + 1)
+        return gone
+
+
 def added(manifest: dict, name: str, new: dict[str, list[str]]) -> None:
     """List new folders beside the stored ones."""
     table = manifest.setdefault(name, {})

@@ -1,6 +1,7 @@
 """Merges, joins and numberings against brute force, also with hot keys."""
 
 import random
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pulsemill.plans.numbering import number_rows, time_levels
 from pulsemill.plans.skew import hot_keys, skew_join
 from pulsemill.session import scratch_path
 from pulsemill.sources import chunks, ledger
+from pulsemill.sources.store import Store, added
 
 
 @pytest.fixture(scope="module")
@@ -155,6 +157,29 @@ def test_chunks_are_pruned_and_compacted(spark):
     assert old.count() + kept.count() == 2000 and old.select("chunk").distinct().count() == 3
 
 
+def test_store_range_compaction_and_expiry(spark):
+    store = Store(spark, scratch_path(spark, "store"))
+    listed = {}
+    for run in ("a", "b"):
+        offset = 0 if run == "a" else 900
+        rows = spark.range(1000).select(
+            F.lit(7).cast("bigint").alias("user_id"),
+            F.timestamp_seconds(F.lit(1704067200 + offset) + F.col("id") * 3600).alias("timestamp"),
+            F.lit(60).alias("value"),
+            F.lit(None).cast("timestamp").alias("create_ts"),
+        )
+        added(listed, "heart_rate", store.write("heart_rate", rows, run))
+    store.publish(listed, 1)
+    assert store.read_range("heart_rate", date(2024, 1, 11), date(2024, 1, 18)).count() == 2 * 7 * 24
+    assert store.read_range("heart_rate", date(2024, 1, 12), date(2024, 1, 13)).count() == 2 * 24
+    old = store.compact("heart_rate", date(2024, 2, 24))
+    assert old == ["2023-12-28", "2024-01-04", "2024-01-11", "2024-01-18"]
+    assert store.read("heart_rate").count() == 2000
+    assert all(len(store.manifest()["heart_rate"][c]) == 1 for c in old)
+    assert store.expire("heart_rate", date(2024, 2, 24), 40) == ["2023-12-28", "2024-01-04"]
+    assert store.read("heart_rate").agg(F.min("chunk")).head()[0] == "2024-01-11"
+
+
 def test_rollup_refresh_touches_only_its_chunks(spark):
     folder = scratch_path(spark, "rollup")
     rows = spark.range(1000).select(
