@@ -245,13 +245,10 @@ def maintain_latest_flag(
     if mode not in ("append", "update", "ignore"):
         raise ValueError(f"unknown mode {mode}")
     per, identity, order = list(per), list(identity), list(order)
-    touched = source.select(*per).distinct()
+    touched = source.select(*per).distinct().withColumn("_touched", F.lit(True))
     flagged = F.coalesce(F.col(flag), F.lit(False))
-    stored = (
-        target.filter(~flagged)
-        .unionByName(target.filter(flagged).join(touched, per, "left_anti"))
-        .unionByName(target.filter(flagged).join(touched, per, "left_semi").withColumn(flag, F.lit(False)))
-    )
+    lowered = target.filter(flagged).join(touched, per, "left").withColumn(flag, F.col("_touched").isNull())
+    stored = target.filter(~flagged).unionByName(lowered.drop("_touched"))
     last = source.groupBy(*per).agg(
         F.max_by(_pack(_others(identity, per)), _pack(order)).alias("_row")
     ).select(*per, "_row.*").drop("_none")

@@ -95,7 +95,7 @@ def run_batch(
     files = _stage_files(work, raw, config)
     taken = files.filter(F.col("state") == "process")
     decoded, findings = _decode(taken, config)
-    parts = together({name: partial(work.save, rows, f"rows-{name}") for name, rows in decoded.items()})
+    parts = together(spark, {name: partial(work.save, rows, f"rows-{name}") for name, rows in decoded.items()})
     findings = work.save(findings, "findings")
     fit = _activity_files(work, taken, decoded_frames)
     known = store.read("activity", manifest=manifest).select("activity_id")
@@ -111,11 +111,12 @@ def run_batch(
     target = Target(store, manifest, run, now)
     merged = [name for name in TABLES if name not in ("user", "activity", "etl_result")]
     together(
+        spark,
         {
             "user": partial(_write_users, target, good, parts),
             "activity": partial(_write_activities, work, target, parts, fit, decoded_frames),
             **{name: partial(_write_table, target, name, parts) for name in merged},
-        }
+        },
     )
     outcome = work.save(_outcome(files, failed), "outcome")
     if config.store:
@@ -125,10 +126,11 @@ def run_batch(
     return outcome
 
 
-def together(tasks: dict[str, Callable]) -> dict:
+def together(spark: SparkSession, tasks: dict[str, Callable]) -> dict:
     """Run independent Spark jobs side by side: one small table must not keep the cluster waiting."""
     with ThreadPoolExecutor(max_workers=JOBS_AT_ONCE) as pool:
-        running = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+        bind = inheritable_thread_target(spark)
+        running = {name: pool.submit(bind(task)) for name, task in tasks.items()}
         return {name: job.result() for name, job in running.items()}
 
 
