@@ -151,4 +151,4 @@ def require_parent_or_fail(frames: DataFrame, activities: DataFrame) -> DataFram
 def skip_already_loaded(frames: DataFrame, activities: DataFrame) -> DataFrame:
     """Frames of activities whose series are not stored yet."""
     loaded = activities.filter(F.col("ts_data_available")).select("activity_id").distinct()
-    return skew_join(frames, loaded, ["activity_id"], "left_anti", spread=["activity_id", "frame_seq"])
+    return skew_join(frames, loaded, ["activity_id"], "left_anti")

@@ -260,15 +260,14 @@ def _failed_sets(
 
 def _seen(rows: DataFrame, first_seen: DataFrame) -> DataFrame:
     """Rows whose activity is stored, or listed in the same or an earlier set."""
-    joined = skew_join(rows, first_seen, ["activity_id"], "inner", spread=["file_name"])
+    joined = skew_join(rows, first_seen, ["activity_id"], "inner")
     visible = F.col("stored") | (F.col("since") <= F.col("file_set_ts"))
     return joined.filter(visible).select(*rows.columns)
 
 
 def without_sets(rows: DataFrame, failed: DataFrame) -> DataFrame:
     """Rows of the sets that did not fail; one set may hold very many rows."""
-    spread = [c for c in ("file_name", "pos") if c in rows.columns]
-    return skew_join(rows, failed.select("file_set_ts"), ["file_set_ts"], "left_anti", spread=spread)
+    return skew_join(rows, failed.select("file_set_ts"), ["file_set_ts"], "left_anti")
 
 
 def _per_set(findings: DataFrame) -> DataFrame:
@@ -352,7 +351,7 @@ def _write_activities(
         in_time = F.col("_opening").isNull() | (F.struct(*ORIGIN) <= F.col("_opening"))
         chosen = waiting.join(opening, "activity_id", "left").filter(in_time).select(*ORIGIN, "activity_id")
         named = decoded.select("file_name", "frame_seq", "frame_name", "fields")
-        todo = skew_join(named, chosen, ["file_name"], "inner", spread=["frame_seq"])
+        todo = skew_join(named, chosen, ["file_name"], "inner")
         keep = ["activity_id", *ORIGIN]
         metrics = {
             "activity_ts_metric": frames.unpivot_record_frames(todo, keep),
@@ -376,7 +375,6 @@ def _outcome(files: DataFrame, failed: DataFrame) -> DataFrame:
         failed,
         ["file_set_ts"],
         "left",
-        spread=["file_name"],
     )
     done = taken.select(
         "file_name",

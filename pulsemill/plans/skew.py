@@ -1,20 +1,20 @@
 """Joins that stay balanced when a few keys hold most of the rows.
 
-A key is hot when it holds more than 1/HOT_SHARE of all rows. By counting, at most HOT_SHARE - 1
-keys can be hot however large the table is, so the list of hot keys may be broadcast. Hot rows are
-spread over SALTS sub-keys and their partner rows are repeated once per sub-key; every other key
-holds at most 1/HOT_SHARE of the rows and takes the plain hash join.
+A key is hot when it holds more than 1/HOT_SHARE of all rows. By counting, fewer than HOT_SHARE keys
+can be hot however large the table is, and the looked-up side has one row per key, so both the list of
+hot keys and the rows they look up may be broadcast. Hot rows are joined where they are read, also
+when they are exact copies of each other, and are never shuffled; every other key holds at most
+1/HOT_SHARE of the rows and takes the usual join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 200
-SALTS = 64
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
@@ -25,54 +25,33 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Data
 
 
 def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    spread: Sequence[str] | None = None,
-    null_safe: bool = False,
-    salts: int = SALTS,
+    left: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner", null_safe: bool = False
 ) -> DataFrame:
-    """Equi-join a large `left`, whose keys may be skewed, with `right` on equally named columns.
+    """Equi-join a large `left`, whose keys may be skewed, with a `lookup` of one row per key.
 
-    `how` is inner, left, left_semi or left_anti. `spread` names the left columns whose hash picks
-    the sub-key of a hot row; by default all of them. With `null_safe`, NULL keys match each other.
+    `how` is inner, left, left_semi or left_anti. With `null_safe`, NULL keys match each other.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    keys = list(keys)
-    spread = list(spread or left.columns)
-    hot = hot_keys(left, keys).withColumn("_hot", F.lit(True))
-
-    salted_left = _mark(left, hot, keys).withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(F.lit(0)),
-    )
-    salted_right = _mark(right, hot, keys).withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    salted_left, salted_right = salted_left.drop("_hot"), salted_right.drop("_hot")
+    hot = F.broadcast(hot_keys(left, keys))
+    busy = _join(left, hot, keys, "left_semi", True)
+    rest = _join(left, hot, keys, "left_anti", True)
+    few = F.broadcast(_join(lookup, hot, keys, "left_semi", True))
+    return _join(busy, few, keys, how, null_safe).unionByName(_join(rest, lookup, keys, how, null_safe))
+
+
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool) -> DataFrame:
     if not null_safe:
-        return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
-    renamed = salted_right.withColumnsRenamed({k: f"_r_{k}" for k in [*keys, "_salt"]})
-    condition = salted_left["_salt"] == renamed["_r__salt"]
-    for key in keys:
-        condition = condition & salted_left[key].eqNullSafe(renamed[f"_r_{key}"])
-    joined = salted_left.join(renamed, condition, how)
-    return joined.drop("_salt", "_r__salt", *[f"_r_{k}" for k in keys])
-
-
-def _mark(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add `_hot` (true or NULL); the hot list has a proven size bound, so it is broadcast."""
-    names = {key: f"_h_{key}" for key in keys}
-    listed = F.broadcast(hot.withColumnsRenamed(names))
+        return left.join(right, list(keys), how)
+    names = {key: f"_r_{key}" for key in keys}
+    return left.join(right.withColumnsRenamed(names), _matches(names), how).drop(*names.values())
+
+
+def _matches(names: dict[str, str]) -> Column:
     condition = F.lit(True)
-    for key, name in names.items():
-        condition = condition & F.col(key).eqNullSafe(F.col(name))
-    return df.join(listed, condition, "left").drop(*names.values())
+    for key, other in names.items():
+        condition = condition & F.col(key).eqNullSafe(F.col(other))
+    return condition
 
 
 def orphan_rows(

@@ -50,7 +50,7 @@ def unmatched_files(files: DataFrame) -> DataFrame:
     """Files no type matches, with the number of such files in their set; their sets fail."""
     lost = files.filter(F.col("file_type").isNull()).select("file_set_ts", "file_name")
     sizes = lost.groupBy("file_set_ts").agg(F.count(F.lit(1)).alias("n_unmatched"))
-    return skew_join(lost, sizes, ["file_set_ts"], "inner", spread=["file_name"])
+    return skew_join(lost, sizes, ["file_set_ts"], "inner")
 
 
 def assign_batches(sets: DataFrame, min_sets: int, max_batches: int) -> DataFrame:
@@ -122,7 +122,7 @@ def init_results(files: DataFrame, results: DataFrame) -> DataFrame:
 def file_set_status(files: DataFrame) -> DataFrame:
     """`set_ok` per file: a set succeeds only if all its files did."""
     sets = files.groupBy("file_set_ts").agg(F.bool_and("success").alias("set_ok"))
-    return skew_join(files, sets, ["file_set_ts"], "inner", spread=["file_name"])
+    return skew_join(files, sets, ["file_set_ts"], "inner")
 
 
 def route_store(files: DataFrame, results: DataFrame) -> DataFrame:
