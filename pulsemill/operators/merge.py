@@ -133,7 +133,6 @@ def upsert(
 
     inserted = F.col("_old").isNull()
     applies = F.col("_new").isNotNull()
-    stuck = F.lit(False)
     if newer_on is not None:
         applies = applies & F.coalesce(inserted | (F.col(names[newer_on]) > F.col(newer_on)), F.lit(False))
         stuck = inserted & F.col(names["_first"])[newer_on].isNull()

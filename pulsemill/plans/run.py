@@ -231,7 +231,7 @@ def _failed_sets(
     failed = work.save(_per_set(findings), "failed-0")
     count = failed.count()
     for turn in range(1, MAX_CASCADE + 1):
-        alive = listed.join(failed, "file_set_ts", "left_anti")
+        alive = without_sets(listed, failed)
         since = F.col("since")
         first_seen = (
             known.select("activity_id", F.lit(None).cast("timestamp").alias("since"))
@@ -344,12 +344,12 @@ def _write_activities(
         activities = merge.upsert(activities, rows, ["activity_id"], ORDER, preserve=preserve)
     if decoded is not None:
         loaded = activities.filter("ts_data_available").select("activity_id")
-        waiting = work.save(fit.join(loaded, "activity_id", "left_anti"), "waiting")
+        waiting = work.save(skew_join(fit, loaded, ["activity_id"], "left_anti"), "waiting")
         opening = waiting.filter("has_series").groupBy("activity_id").agg(
             F.min(F.struct(*ORIGIN)).alias("_opening")
         )
         in_time = F.col("_opening").isNull() | (F.struct(*ORIGIN) <= F.col("_opening"))
-        chosen = waiting.join(opening, "activity_id", "left").filter(in_time).select(*ORIGIN, "activity_id")
+        chosen = skew_join(waiting, opening, ["activity_id"], "left").filter(in_time).select(*ORIGIN, "activity_id")
         named = decoded.select("file_name", "frame_seq", "frame_name", "fields")
         todo = skew_join(named, chosen, ["file_name"], "inner")
         keep = ["activity_id", *ORIGIN]

@@ -158,7 +158,7 @@ def test_records_and_predictions(docs, table):
         docs(
             [{"typeId": 1, "activityId": 5, "prStartTimeGmt": T}, {"typeId": 99, "activityId": 6, "prStartTimeGmt": T},
              {"typeId": 14, "activityId": 7, "prStartTimeGmt": T}],
-            [{"typeId": 1, "prStartTimeGmt": T}], None and [],
+            [{"typeId": 1, "prStartTimeGmt": T}], None,
         )
     )
     assert table(decoded.rows["personal_record"].filter("file_name = 'doc0'"), "activity_id", "label") == [
