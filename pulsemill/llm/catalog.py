@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsemill.llm.shared import ready, tables
 
@@ -57,3 +58,34 @@ def op10_line_windows(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = drop_repeated_lines(tables(spark, folder, "documents"))
     return docs.select("doc_id", "text", "n_removed")
+
+
+@query
+def op4_norm_sorted_topk(spark: SparkSession, folder: str) -> DataFrame:
+    from pulsemill.llm.topk import exact_top_k
+
+    return exact_top_k(tables(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+
+
+ORACLES["op4_norm_sorted_topk"] = """
+with ints as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+    cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from ints q join ints c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+), ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@query
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    from pulsemill.llm.pages import extract_main_text
+
+    return extract_main_text(tables(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
