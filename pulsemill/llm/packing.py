@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pulsemill.llm.merges import PairTable, merge_words
 from pulsemill.llm.ragged import as_bytes, distinct, from_bytes, text_slices
-from pulsemill.llm.shared import staged
+from pulsemill.llm.shared import spread, staged
 
 CAPACITY = 2048
 SHARD = 8192
@@ -334,6 +334,7 @@ def pack_shards(items: DataFrame, capacity: int, label: str) -> DataFrame:
 
         return run
 
+    # One row for each island; few bytes, but much work.
     islands = items.groupBy("shard").applyInPandas(settle, shard_type)
     for number in range(ROUNDS):
         if number:
@@ -345,7 +346,7 @@ def pack_shards(items: DataFrame, capacity: int, label: str) -> DataFrame:
         else:
             islands = islands.withColumn("guest", F.lit(None).cast("array<int>"))
         islands = islands.select("shard", "island", "items", "sizes", "bins", "guest")
-        islands = staged(islands.mapInPandas(generation(number), shard_type), f"{label}-islands")
+        islands = staged(spread(islands, "shard", "island").mapInPandas(generation(number), shard_type), f"{label}-islands")
     used = F.array_max("bins")
     best = islands.groupBy("shard").agg(F.min_by(F.struct("items", "sizes", "bins"), F.struct(used, "island")).alias("b"))
     return best.select("shard", F.inline(F.arrays_zip("b.items", "b.sizes", "b.bins"))).toDF(
