@@ -24,14 +24,14 @@ from pulsemill.plans.once import with_columns_once
 WORDS = 5
 SCALE = 4
 LEAST = 64
-# Hashes are 60-bit numbers, so that they and every bound are positive and have 15 hexadecimal digits.
-RANGE = 1 << 60
+# Hashes are 31-bit numbers: a sketch is moved with the text, and two texts rarely share one by chance.
+RANGE = 1 << 31
 
 
 def _shingles(hashed: Column) -> Column:
     def one(h: Column, i: Column) -> Column:
         before = [F.get(hashed, i - n) for n in range(1, WORDS)]
-        return F.shiftrightunsigned(F.xxhash64(h, *before), 4)
+        return F.shiftrightunsigned(F.xxhash64(h, *before), 33).cast("int")
 
     return F.transform(hashed, one)
 
@@ -58,7 +58,7 @@ def with_sketch(df: DataFrame, sketches: dict[str, Column], scale: int = SCALE,
         few = F.when(
             F.size(every) <= least, F.struct(F.lit(RANGE).cast("long").alias("bound"), every.alias("hashes"))
         ).otherwise(
-            F.struct(F.element_at(every, least + 1).alias("bound"), F.slice(every, 1, least).alias("hashes"))
+            F.struct(F.element_at(every, least + 1).cast("long").alias("bound"), F.slice(every, 1, least).alias("hashes"))
         )
         enough = F.struct(F.lit(bound).cast("long").alias("bound"), kept.alias("hashes"))
         return F.when(F.size(kept) >= least, enough).otherwise(few)
@@ -78,7 +78,7 @@ def parsed(text: Column) -> Column:
     listed = F.filter(F.split(F.substring_index(text, ":", -1), ","), lambda h: h != "")
     return F.struct(
         F.conv(F.substring_index(text, ":", 1), 16, 10).cast("long").alias("bound"),
-        F.transform(listed, lambda h: F.conv(h, 16, 10).cast("long")).alias("hashes"),
+        F.transform(listed, lambda h: F.conv(h, 16, 10).cast("int")).alias("hashes"),
     )
 
 
@@ -143,7 +143,7 @@ def next_documents(rows: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_chars, text, edited, sketch, edited_sketch, next_sketch) of every document, where the
+    """(doc_id, n_chars, text, edited, sketch, edited_sketch, next_doc_id, next_sketch) of every document, where the
     last quarter of the edited text is replaced by the beginning of the next document."""
     base = docs.select(F.col(doc_id).alias("id"), whole_text(text).alias("text")).select(
         "*", F.xxhash64("id", "text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2")
@@ -157,17 +157,18 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
     met = base.join(asked, ["k1", "k2"])
     sent = with_sketch(
-        met.select("ask.to1", "ask.to2", F.substring(F.col("text"), F.lit(1), F.col("ask.need")).alias("prefix"), "text"),
+        met.select("ask.to1", "ask.to2", F.col("id").alias("next_doc_id"), F.substring(F.col("text"), F.lit(1), F.col("ask.need")).alias("prefix"), "text"),
         {"sketch": F.col("text")},
     )
-    sent = sent.select(F.col("to1").alias("k1"), F.col("to2").alias("k2"), "prefix", F.col("sketch").alias("next_sketch"))
+    # The id goes along for the result, and lets both joins read one shuffle of the texts.
+    sent = sent.select(F.col("to1").alias("k1"), F.col("to2").alias("k2"), "next_doc_id", "prefix", F.col("sketch").alias("next_sketch"))
     sent = sent.dropDuplicates(["k1", "k2"])
     both = base.join(sent, ["k1", "k2"])
     kept = F.substring(F.col("text"), F.lit(1), size - quarter)
     edited = with_columns_once(both, {"edited": F.concat(kept, F.col("prefix"))})
     sketched = with_sketch(edited, {"sketch": F.col("text"), "edited_sketch": F.col("edited")})
     return sketched.select(
-        F.col("id").alias("doc_id"), size.cast("long").alias("n_chars"), "text", "edited", "sketch", "edited_sketch", "next_sketch"
+        F.col("id").alias("doc_id"), size.cast("long").alias("n_chars"), "text", "edited", "sketch", "edited_sketch", "next_doc_id", "next_sketch"
     )
 
 
@@ -184,5 +185,6 @@ def fingerprint_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         },
     )
     return found.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+        "next_doc_id",
     )
