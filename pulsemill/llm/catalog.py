@@ -89,3 +89,32 @@ def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     from pulsemill.llm.pages import extract_main_text
 
     return extract_main_text(tables(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op6_language_fusion(spark: SparkSession, folder: str) -> DataFrame:
+    from pulsemill.llm.languages import fit_trigrams, identify
+
+    model = fit_trigrams(tables(spark, folder, "documents"))
+    pages = tables(spark, folder, "pages")
+    shown = pages.select(
+        "page_id",
+        "url",
+        F.regexp_replace("html", r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<[^>]*>", " ").alias("text"),
+        F.regexp_extract("html", r"(?i)<html[^>]*\blang=[\"']?([a-z-]+)", 1).alias("declared"),
+    )
+    found = identify(
+        shown,
+        model,
+        declared=F.col("declared"),
+        segment=F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z]{2})(?:[/?#]|$)", 1),
+        host=F.nullif(F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1), F.lit("")),
+    )
+    return found.select("page_id", "language", "confidence", "accepted")
+
+
+@query
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from pulsemill.llm.secrets import secret_report
+
+    return secret_report(tables(spark, folder, "documents"))
