@@ -91,30 +91,48 @@ def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main_text(tables(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op5_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    from pulsemill.llm.neardup import near_duplicates
+
+    found = near_duplicates(tables(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "keep")
+
+
 @query
 def op6_language_fusion(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by their text, label and source; pages also by markup, address and host."""
     from pulsemill.llm.languages import fit_trigrams, identify
 
-    model = fit_trigrams(tables(spark, folder, "documents"))
-    pages = tables(spark, folder, "pages")
+    docs, pages = tables(spark, folder, "documents"), tables(spark, folder, "pages")
+    model = fit_trigrams(docs)
+    of_docs = identify(docs, model, declared=F.col("lang"), host=F.col("source"))
     shown = pages.select(
         "page_id",
         "url",
         F.regexp_replace("html", r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<[^>]*>", " ").alias("text"),
         F.regexp_extract("html", r"(?i)<html[^>]*\blang=[\"']?([a-z-]+)", 1).alias("declared"),
     )
-    found = identify(
+    of_pages = identify(
         shown,
         model,
         declared=F.col("declared"),
         segment=F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z]{2})(?:[/?#]|$)", 1),
         host=F.nullif(F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1), F.lit("")),
     )
-    return found.select("page_id", "language", "confidence", "accepted")
+    found = ["language", "confidence", "accepted"]
+    return of_docs.select("doc_id", *found).unionByName(of_pages.select("page_id", *found), allowMissingColumns=True)
 
 
 @query
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    from pulsemill.llm.secrets import secret_report
+    from pulsemill.llm.secret_scan import secret_report
 
     return secret_report(tables(spark, folder, "documents"))
+
+
+@query
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    from pulsemill.llm.personal import personal_report
+
+    return personal_report(tables(spark, folder, "documents"))

@@ -15,7 +15,8 @@ counted to be few and joined with their hot keys apart otherwise.
 
 Nulls: a null text is empty; missing declarations, segments and hosts add no evidence. Texts without a
 letter have the language UNKNOWN and are not accepted. Repeated rows are judged alike, no rows give no
-rows, and other columns pass through.
+rows, and other columns pass through; those of
+the names of the results are replaced.
 """
 
 from __future__ import annotations
@@ -163,13 +164,14 @@ def identify(
     host = none if host is None else host
     suffix = F.regexp_extract(host, r"\.([A-Za-z]+)$", 1)
     named = docs.select(
-        "*",
+        F.struct(*[F.col(c) for c in docs.columns]).alias("_row"),
+        F.col(text).alias("_read"),
         (none if declared is None else F.lower(declared)).alias("_declared"),
         (none if segment is None else F.lower(segment)).alias("_segment"),
         F.lower(host).alias("_host"),
         F.when(host.isNotNull(), F.lower(suffix)).alias("_suffix"),
     )
-    scored = with_likelihoods(named, model, text, "_scores")
+    scored = with_likelihoods(named, model, "_read", "_scores").drop("_read")
     base = _array([0.0] * len(model.languages) + [math.log(FOREIGN)])
     scored = scored.withColumn("_text", _posterior(F.zip_with("_scores", base, lambda s, b: s + b)))
 
@@ -231,7 +233,7 @@ def identify(
     number = F.array_position("_final", best)
     found = F.when(F.col("_final").isNull(), F.lit(UNKNOWN)).otherwise(F.element_at(F.array(*map(F.lit, classes)), number.cast("int")))
     kept = [c for c in docs.columns if c not in (language, confidence, accepted)]
-    out = judged.select(*kept, found.alias(language), F.coalesce(best, F.lit(1.0)).alias(confidence))
+    out = judged.select(*[F.col(f"_row.{c}") for c in kept], found.alias(language), F.coalesce(best, F.lit(1.0)).alias(confidence))
     return out.withColumn(accepted, F.col(language) != UNKNOWN)
 
 

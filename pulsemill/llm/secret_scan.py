@@ -8,7 +8,7 @@ with a letter and a digit that no fixed span touches is reported (kind `markov`)
 ratio of its transitions is at least ODDS. Everything is built from SQL functions.
 
 Nulls: a null text is empty and has no spans; null ids stay. Repeated rows are treated alike, no rows give
-no rows, other columns pass through the operator.
+no rows, other columns pass through `scan_secrets`; one of the name of the result is replaced.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsemill.llm.shared import whole_text
 from pulsemill.llm.spans import count_of, find_spans, listed, no_spans, overlaps
 from pulsemill.plans.once import with_columns_once
 
@@ -37,8 +36,10 @@ CODES = 128
 
 
 def with_base_spans(docs: DataFrame, text: str) -> DataFrame:
-    """Add `_text` and `_base`, the spans of the fixed patterns in order of start and kind."""
-    read = with_columns_once(docs, {"_text": whole_text(text)})
+    """(_row, _text, _base): all columns, the text, and the spans of the fixed patterns in order of start
+    and kind."""
+    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+    read = with_columns_once(packed, {"_text": F.coalesce(F.col(f"_row.{text}"), F.lit(""))})
     found = with_columns_once(
         read,
         {
@@ -112,7 +113,8 @@ def scan_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", ratio
         F.filter("_tokens", lambda s: ~overlaps(s, F.col("_base")) & (score(s) >= ODDS)),
     ).otherwise(no_spans())
     every = F.array_sort(F.concat("_base", added), _by_start)
-    return with_columns_once(tokens, {out: every}).drop("_text", "_base", "_tokens")
+    spans = with_columns_once(tokens, {"_spans": every})
+    return spans.select(*[F.col(f"_row.{c}") for c in docs.columns if c != out], F.col("_spans").alias(out))
 
 
 def secret_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
