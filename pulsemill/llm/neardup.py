@@ -9,11 +9,13 @@ Each text gets BANDS x DEPTH consistent weighted samples; two texts agree in a s
 of their weighted Jaccard similarity. Texts that agree in a whole band are in one bucket. Pairs that come
 out of buckets are verified by their exact weighted Jaccard similarity, at least THRESHOLD:
 
-* first every text with the smallest document of its bucket,
-* then, in rounds, texts that follow each other when a bucket is sorted by the bands after its own and that
-  are in different classes so far, with another band order each round, until a round links nothing new.
+* every text with the smallest document of its bucket,
+* texts that follow each other when a bucket is sorted by the bands after its own, in TURNS orders of bands:
+  the more samples two texts share, the nearer they stand.
 
-So the pairs are linear in the texts of a bucket, no bucket is gathered in one place, and none is cut.
+So the pairs are linear in the texts of a bucket, no bucket is gathered in one place, and none is cut; a
+text has such partners in each of its BANDS buckets. Two texts of a bucket of more than three are not
+always compared directly; they share a class if verified links lead from one to the other.
 Equal texts are one node. Classes are the connected components of the verified links.
 
 Nulls: a null text is empty; equal texts, empty ones too, are one class. Texts without words are alike
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +42,8 @@ THRESHOLD = 0.8
 BANDS = 13
 DEPTH = 4
 ROWS = 2
-SLOTS = 1 << 17
+SLOTS = 1 << 16
+TURNS = 2
 DAMPING = 0.25
 BLANKS = (32, 10, 9, 13)
 SLICE = 1 << 20
@@ -196,7 +200,7 @@ def text_node(text: str) -> Column:
 
 
 def similar(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose exact weighted Jaccard similarity reaches the threshold."""
+    """The pairs (a, b) of texts (n, text) whose exact weighted Jaccard similarity reaches the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,77 +224,98 @@ def similar(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> D
                     [c.slice(first, len(left)).filter(good) for c in batch.columns[:2]], names=["a", "b"]
                 )
 
-    met = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    met = met.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-    return met.select("a", "b", "ta", "tb").mapInArrow(run, "a string, b string")
+    met = pairs.join(texts.select(F.col("n").alias("a"), F.col("text").alias("ta")), "a")
+    met = met.join(texts.select(F.col("n").alias("b"), F.col("text").alias("tb")), "b")
+    return met.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _neighbours(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs of different classes that follow each other in a bucket, sorted by the bands after its own."""
-    order = [F.element_at("bands", F.pmod(F.col("band") + turn + n, F.lit(BANDS)).cast("int") + 1).alias(f"o{n}") for n in range(3)]
-    keys = ["band", "hash", "o0", "o1", "o2", "node"]
-    rows = members.select("band", "hash", *order, "node", "root")
-    placed = staged(
-        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id())
-        .select("at", "band", "hash", "node", "root"),
-        "near-order",
+def _neighbours(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts that follow each other in a bucket, sorted by the bands after its own and
+    again by later bands. Buckets are cut anywhere by a range sort; a task pairs the rows that it reads
+    in order, and the first row of a partition follows the last one of the partition before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        first = last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            turn, band, hashed, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:4])
+            here = [x[0].item() for x in (turn, band, hashed, node)]
+            first = first or here
+            if last:
+                turn, band, hashed, node = (np.append(x, y) for x, y in zip(last, (turn, band, hashed, node)))
+            same = (turn[1:] == turn[:-1]) & (band[1:] == band[:-1]) & (hashed[1:] == hashed[:-1]) & (node[1:] != node[:-1])
+            last = [x[-1].item() for x in (turn, band, hashed, node)]
+            yield _pairs(node[:-1][same], node[1:][same])
+        if last:
+            yield _pairs([first[3]], [last[3]], part, ":".join(map(str, first[:3])), ":".join(map(str, last[:3])))
+
+    def _pairs(a, b, part=None, head=None, tail=None) -> pa.RecordBatch:
+        n = len(a)
+        columns = [
+            pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([part] * n, pa.int32()),
+            pa.array([head] * n, pa.string()), pa.array([tail] * n, pa.string()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "part", "head", "tail"])
+
+    rows = members.select(
+        F.explode(F.array(*[F.struct(F.lit(t).alias("turn"), F.col(f"o{t}").alias("order")) for t in range(TURNS)])).alias("by"),
+        "band",
+        "hash",
+        "n",
+    ).select("by.turn", "band", "hash", "n", F.col("by.order").alias("order"))
+    keys = ["turn", "band", "hash", "order", "n"]
+    sorted_ = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    found = staged(sorted_.mapInArrow(run, "a long, b long, part int, head string, tail string"), "near-order")
+    line = Window.orderBy("part")
+    ends = found.filter(F.col("part").isNotNull()).select(
+        F.col("b").alias("a"), F.lead("a").over(line).alias("b"), "tail", F.lead("head").over(line).alias("head")
     )
-    # The first row of a partition follows the last one of the partition before.
-    part = F.shiftright("at", 33)
-    ends = placed.groupBy(part.alias("part")).agg(F.min("at").alias("head"), F.max("at").alias("last"))
-    bridge = ends.select("last", F.lead("head").over(Window.orderBy("part")).alias("head")).filter("head is not null")
-    follower = placed.select(*[F.col(c).alias(f"n_{c}") for c in placed.columns])
-    inside = placed.join(follower, F.col("at") + 1 == F.col("n_at"))
-    across = placed.join(F.broadcast(bridge), F.col("at") == F.col("last")).join(follower, F.col("head") == F.col("n_at"))
-    pairs = inside.unionByName(across.select(*inside.columns))
-    same = (F.col("band") == F.col("n_band")) & (F.col("hash") == F.col("n_hash")) & (F.col("root") != F.col("n_root"))
-    return pairs.filter(same).select(F.least("node", "n_node").alias("a"), F.greatest("node", "n_node").alias("b"))
+    across = ends.filter((F.col("tail") == F.col("head")) & (F.col("a") != F.col("b"))).select("a", "b")
+    return found.filter(F.col("part").isNull()).select("a", "b").unionByName(across)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """(id, node, class_id, class_node, keep): the class of every document, named by its smallest id, and
-    whether the document is the one that stays: of equal ids and texts each row is marked."""
+    """(id, node, class_id, class_size, keep): the class of every document, named by its smallest id, and
+    whether the document is the one that stays; of rows with the same id and text each is marked."""
     idf = fit_idf(docs, text)
     signed = staged(signatures(docs, idf, doc_id, text), "near-signed")
-    nodes = signed.groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
-    members = nodes.filter(F.col("bands").isNotNull()).select("node", "id", "bands", F.posexplode("bands").alias("band", "hash"))
+    # From here on a text is a number.
+    nodes = signed.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"))
+    nodes = staged(nodes.withColumn("n", F.monotonically_increasing_id()), "near-nodes")
+
+    def band(after: int) -> Column:
+        """The upper half of a later band's hash."""
+        return F.shiftright(F.element_at("bands", F.pmod(F.col("band") + after, F.lit(BANDS)) + 1), 32)
+
+    members = nodes.filter(F.col("bands").isNotNull()).select("n", "id", "bands", F.posexplode("bands").alias("band", "hash"))
+    orders = [(F.shiftleft(band(2 * t + 1), 32).bitwiseXOR(band(2 * t + 2))).alias(f"o{t}") for t in range(TURNS)]
+    members = members.select("n", "id", "band", "hash", *orders)
     size = members.groupBy("band", "hash").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("least")
+        F.count(F.lit(1)).alias("size"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("least")
     )
-    shared = staged(size.filter("n > 1").select("band", "hash", F.col("least.node").alias("leader")), "near-buckets")
-    members = staged(members.join(shared, ["band", "hash"]).select("band", "hash", "node", "bands", "leader"), "near-members")
-    involved = members.select("node").distinct()
+    shared = size.filter("size > 1").select("band", "hash", F.col("least.n").alias("leader"))
+    members = staged(members.drop("id").join(shared, ["band", "hash"]), "near-members")
+
+    involved = members.select("n").distinct().join(nodes.select("n", "node"), "n")
     texts = docs.select(text_node(text).alias("node"), whole_text(text).alias("text"))
-    texts = staged(texts.join(involved, "node", "left_semi").dropDuplicates(["node"]), "near-texts")
-
-    pairs = members.filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    tried = staged(pairs.distinct(), "near-pairs")
-    links = staged(similar(tried, texts, idf, threshold), "near-links")
-    turn = 0
-    while True:
-        turn += 1
-        roots = components(links, "near")
-        rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        pairs = _neighbours(rooted, turn).distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "near-pairs")
-        new = staged(similar(pairs, texts, idf, threshold), "near-links")
-        if not new.limit(1).count():
-            break
-        tried = staged(tried.unionByName(pairs), "near-pairs")
-        links = staged(links.unionByName(new), "near-links")
-
-    grouped = signed.select("id", "node").join(roots, "node", "left")
-    grouped = grouped.select("id", "node", F.coalesce("root", "node").alias("class_node"))
-    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("least")
-    classes = grouped.groupBy("class_node").agg(least, F.count(F.lit(1)).alias("class_size"))
-    named = grouped.join(classes, "class_node")
-    return named.select(
-        "id",
-        "node",
-        F.col("least.id").alias("class_id"),
-        "class_node",
-        "class_size",
-        (F.col("id").eqNullSafe(F.col("least.id")) & (F.col("node") == F.col("least.node"))).alias("keep"),
+    texts = staged(texts.join(involved, "node").select("n", "text").dropDuplicates(["n"]), "near-texts")
+
+    star = members.filter("n <> leader").select(F.col("leader").alias("a"), F.col("n").alias("b"))
+    pairs = star.unionByName(_neighbours(members)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = staged(pairs.distinct(), "near-pairs")
+    roots = components(staged(similar(pairs, texts, idf, threshold), "near-links"), "near")
+
+    rooted = nodes.select("n", "node", "id", "rows").join(roots.withColumnRenamed("node", "n"), "n", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "n"))
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("least")
+    classes = rooted.groupBy("root").agg(least, F.sum("rows").alias("class_size"))
+    named = rooted.join(classes, "root").select(
+        "node", F.col("least.id").alias("class_id"), "class_size", (F.col("n") == F.col("least.n")).alias("leads")
+    )
+    return signed.select("id", "node").join(named, "node").select(
+        "id", "node", "class_id", "class_size", (F.col("leads") & F.col("id").eqNullSafe(F.col("class_id"))).alias("keep")
     )
 
 
