@@ -95,7 +95,9 @@ def heart_rate_failures(docs: DataFrame) -> DataFrame:
 
     def bad(pair: Column) -> Column:
         kept = checks.keep_reading(assign_double(_at(pair, 0)), _at(pair, 1))
-        return checks.bad_length(pair, 2) | unfit(_at(pair, 0), "double") | (kept & unfit(_at(pair, 1), "int"))
+        return checks.bad_length(pair, 2) | unfit(_at(pair, 0), "double") | (
+            kept & (_bad_ms(_at(pair, 0)) | unfit(_at(pair, 1), "int"))
+        )
 
     return failures(
         docs,

@@ -41,7 +41,6 @@ from pulsemill.sources import ledger
 from pulsemill.sources.mailbox import with_origin
 from pulsemill.sources.store import WHOLE, Store, added, replaced
 
-MAX_CASCADE = 10
 JOBS_AT_ONCE = 8
 
 
@@ -218,19 +217,23 @@ def _failed_sets(
     """Sets that fail, with the first broken rule, their number, and the personal records whose
     activity exists.
 
-    A failed set takes its activities with it, which may cost later sets their parent rows, so the
-    check runs until the set of failures stands still. Each round works on written frames of
-    (set, activity) pairs and failure rows, never on the documents.
+    A failed set takes its activities with it, which may cost later sets their parent rows. A set is
+    judged against stored activities, its own list, and the lists of earlier sets that survive, so it
+    depends on earlier sets only: after n rounds the first n sets are final, and the rounds end when
+    the set of failures stands still. Each round works on written frames of (set, activity) pairs and
+    failure rows, never on the documents.
     """
     empty = work.spark.createDataFrame([], "file_set_ts timestamp, activity_id bigint")
     listed = parts["activity"].select("file_set_ts", "activity_id").distinct() if "activity" in parts else empty
+    listed = work.save(listed, "listed")
     twice = fit.filter("repeats").select(*ORIGIN, F.lit("metric repeated").alias("rule"))
     unnamed = fit.filter("activity_id is null").select(*ORIGIN, F.lit("no activity id in the name").alias("rule"))
     findings = findings.unionByName(twice).unionByName(unnamed)
     records = parts.get("personal_record")
     failed = work.save(_per_set(findings), "failed-0")
-    count = failed.count()
-    for turn in range(1, MAX_CASCADE + 1):
+    turn = 0
+    while True:
+        turn += 1
         alive = without_sets(listed, failed)
         since = F.col("since")
         first_seen = (
@@ -240,7 +243,7 @@ def _failed_sets(
             .agg(F.max(since.isNull()).alias("stored"), F.min(since).alias("since"))
         )
         found = findings.unionByName(
-            fit.join(_seen(fit, first_seen).select(*ORIGIN), ORIGIN, "left_anti").select(
+            fit.join(_seen(fit, first_seen, listed).select(*ORIGIN), ORIGIN, "left_anti").select(
                 *ORIGIN, F.lit("activity not found").alias("rule")
             )
         )
@@ -248,20 +251,23 @@ def _failed_sets(
         if records is not None:
             free = records.filter(F.col("type_id").isin(*RECORDS_WITHOUT_ACTIVITY))
             bound = records.filter(F.col("activity_id").isNotNull())
-            visible = work.save(free.unionByName(_seen(bound, first_seen)), f"visible-{turn}")
+            visible = work.save(free.unionByName(_seen(bound, first_seen, listed)), f"visible-{turn}")
             found = found.unionByName(training.repeated_record_types(visible))
-        failed = work.save(_per_set(found), f"failed-{turn}")
-        new_count = failed.count()
-        if new_count == count:
-            return failed, count, visible
-        count = new_count
-    raise RuntimeError(f"failed file sets did not settle in {MAX_CASCADE} rounds")
-
-
-def _seen(rows: DataFrame, first_seen: DataFrame) -> DataFrame:
-    """Rows whose activity is stored, or listed in the same or an earlier set."""
-    joined = skew_join(rows, first_seen, ["activity_id"], "inner")
-    visible = F.col("stored") | (F.col("since") <= F.col("file_set_ts"))
+        now_failed = work.save(_per_set(found), f"failed-{turn}")
+        before, after = failed.select("file_set_ts"), now_failed.select("file_set_ts")
+        changed = before.exceptAll(after).unionByName(after.exceptAll(before)).limit(1).count()
+        failed = now_failed
+        if not changed:
+            return failed, failed.count(), visible
+
+
+def _seen(rows: DataFrame, first_seen: DataFrame, listed: DataFrame) -> DataFrame:
+    """Rows whose activity is stored, listed in an earlier set that survives, or listed in their own set,
+    whether that survives or not."""
+    joined = skew_join(rows, first_seen, ["activity_id"], "left")
+    own = listed.withColumn("own", F.lit(True))
+    joined = skew_join(joined, own, ["file_set_ts", "activity_id"], "left")
+    visible = F.col("own") | F.col("stored") | (F.col("since") <= F.col("file_set_ts"))
     return joined.filter(visible).select(*rows.columns)
 
 

@@ -15,6 +15,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampType
 
 from pulsemill.schema import TABLES, Table
 from pulsemill.sources.chunks import (
@@ -139,12 +140,20 @@ class Store:
 
     # Upkeep of time tables.
 
+    def _last_chunk(self, name: str, today: date, days: int) -> date:
+        """First day of the last chunk that ended more than `days` ago; only time makes a chunk old."""
+        table = TABLES[name]
+        kind = {f.name: f.dataType for f in self.read(name).schema}.get(table.chunk_on)
+        if not isinstance(kind, (DateType, TimestampType)):
+            raise ValueError(f"{name} has no chunks by time")
+        return today - timedelta(days=days + CHUNK_DAYS)
+
     def compact(self, name: str, today: date, days: int = COMPACT_AFTER_DAYS) -> list[str]:
         """Rewrite the chunks older than `days` that are made of several folders as one sorted zstd
         folder each, and publish; returns the chunks."""
         version, listed = self.version(), self.manifest()
-        last = (today - timedelta(days=days + CHUNK_DAYS)).isoformat()
-        old = [c for c, folders in listed.get(name, {}).items() if c <= last and len(folders) > 1]
+        last = self._last_chunk(name, today, days)
+        old = [c for c, folders in listed.get(name, {}).items() if date.fromisoformat(c) <= last and len(folders) > 1]
         if old:
             rows = self.read(name, old, listed)
             replaced(listed, name, old, self.write(name, rows, f"compact-{uuid.uuid4().hex}", "zstd"))
@@ -154,8 +163,8 @@ class Store:
     def expire(self, name: str, today: date, days: int) -> list[str]:
         """Stop listing the chunks that ended more than `days` ago; returns them."""
         version, listed = self.version(), self.manifest()
-        last = (today - timedelta(days=days + CHUNK_DAYS)).isoformat()
-        gone = [c for c in listed.get(name, {}) if c <= last]
+        last = self._last_chunk(name, today, days)
+        gone = [c for c in listed.get(name, {}) if date.fromisoformat(c) <= last]
         if gone:
             replaced(listed, name, gone, {})
             self.publish(listed, version + 1)

@@ -139,3 +139,45 @@ def test_activity_flag_survives_relisting(spark, raw, table):
     assert table(store.read("activity"), "activity_id", "activity_name", "ts_data_available") == [
         (1001, "Renamed", True), (1002, "Outing", False),
     ]
+
+
+def listing(date, activities, records=()):
+    files = {f"7_ACTIVITIES_LIST_{date}T12:00:00Z.json": [activity(i) for i in activities]}
+    if records:
+        files[f"7_PERSONAL_RECORDS_{date}T12:00:00Z.json"] = [
+            {"typeId": 3, "activityId": i, "prStartTimeGmt": 1754524800000 + n, "value": 1.0 + n}
+            for n, i in enumerate(records)
+        ]
+    return files
+
+
+def fates(spark, raw, files):
+    store = Store(spark, scratch_path(spark, "store"))
+    outcome = run_batch(spark, raw(files), store, config(), frame_table(spark, []))
+    return {r["file_name"]: (r["state"], r["error_type"]) for r in outcome.collect()}
+
+
+def test_a_failed_set_stays_failed(spark, raw):
+    alone = listing("2025-08-07", [5001], [5001, 5001])
+    assert set(fates(spark, raw, alone).values()) == {("quarantine", "record type repeated")}
+    later = alone | {"7_ACTIVITY_5001_2025-08-09T12:00:00Z.fit": ""}
+    states = fates(spark, raw, later)
+    assert states.pop("7_ACTIVITY_5001_2025-08-09T12:00:00Z.fit") == ("quarantine", "activity not found")
+    assert set(states.values()) == {("quarantine", "record type repeated")}
+
+
+def test_heart_rate_time_must_be_a_timestamp(spark, raw):
+    bad = {"7_HEART_RATE_2025-08-07T12:00:00Z.json": {"heartRateValues": [[100000000000000000, 60]]}}
+    assert set(fates(spark, raw, bad).values()) == {("quarantine", "bad heart rate reading")}
+
+
+def test_only_chunks_by_time_expire(spark, raw):
+    from datetime import date
+
+    store = Store(spark, scratch_path(spark, "store"))
+    run_batch(spark, raw(day()), store, config(), frame_table(spark, frames()))
+    for upkeep in (store.expire, store.compact):
+        with pytest.raises(ValueError):
+            upkeep("activity", date(2035, 8, 9), 3650)
+    assert store.read("activity").count() == 2
+    assert store.expire("heart_rate", date(2035, 8, 9), 30) and store.read("heart_rate").count() == 0
