@@ -82,7 +82,7 @@ class PieceCodec:
 
     def parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """The independent parts of every text, each with its leading blanks, and each text's offset."""
-        blanked = pc.replace_substring(texts, MARK, " ")
+        blanked = pc.replace_substring(texts.cast(pa.large_string()), MARK, " ")
         space, none = (pa.scalar(c, pa.large_string()) for c in (" ", ""))
         led = pc.if_else(pc.equal(pc.binary_length(blanked), 0), none, pc.binary_join_element_wise(space, blanked, none))
         flat, offsets = as_bytes(led)
