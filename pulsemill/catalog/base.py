@@ -7,12 +7,13 @@ id, so no input gathers an unbounded group.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsemill.fields import Field
 from pulsemill.functions.names import activity_file_name, standard_file_name
 from pulsemill.plans.once import with_columns_once
 from pulsemill.session import prepare_session
@@ -126,6 +127,34 @@ def as_docs(rows: DataFrame, content: Column, user: str, *keep: str) -> DataFram
     )
 
 
+def filled(fields: Sequence[Field], number: Column, key: Column, text: Column) -> list[Column]:
+    """A document value for every field: another one per field, and none in every seventh."""
+    values = {
+        "double": lambda n: number + n,
+        "bigint": lambda n: key + n,
+        "int": lambda n: key % 1000 + n,
+        "boolean": lambda n: (key + n) % 2 == 0,
+        "string": lambda n: F.concat(text, F.lit(f" {n}")),
+    }
+    return [F.when((key + n) % 7 != 0, values[f.kind](n)).alias(f.json) for n, f in enumerate(fields)]
+
+
+def filled_sql(fields: Sequence[Field], number: str, key: str, text: str) -> str:
+    """The columns that the values of `filled` are stored in."""
+    values = {
+        "double": "cast({number} + {n} as double)",
+        "bigint": "cast({key} + {n} as bigint)",
+        "int": "cast({key} % 1000 + {n} as integer)",
+        "boolean": "({key} + {n}) % 2 = 0",
+        "string": "{text} || ' {n}'",
+    }
+    return ", ".join(
+        f"case when ({key} + {n}) % 7 <> 0 then {values[f.kind].format(number=number, key=key, text=text, n=n)} end"
+        f' as "{f.column}"'
+        for n, f in enumerate(fields)
+    )
+
+
 def packed_events(t: Tables) -> DataFrame:
     """Heart-rate documents of at most BLOCK events; the block stands for the user of the file."""
     block = F.floor(F.col("event_id") / BLOCK).cast("bigint")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill import fields as fl
-from pulsemill.catalog.base import Tables, as_docs, millis, ntz, over_all_cores, query
+from pulsemill.catalog.base import Tables, as_docs, filled, filled_sql, millis, ntz, over_all_cores, query
 from pulsemill.operators import activity, frames, profile, sleep, training, wellness
 from pulsemill.registry import RECORD_LABELS
 
@@ -197,22 +197,15 @@ _SPORT_SQL = "case o_orderstatus when 'F' then 'running' when 'O' then 'road_Cyc
 _PRIORITY_NO = "cast(substr(o_orderpriority, 1, 1) as integer)"
 
 
-def _activity_list(t: Tables) -> DataFrame:
+def _activity_list(t: Tables, fields: list[fl.Field] | None = None) -> DataFrame:
+    """One activity per order, with a value for every one of `fields` or with a mix of known and unknown ones."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     rank = F.expr("cast(substr(o_orderpriority, 1, 1) as int)")
     ended = F.when(F.col("o_orderstatus") != "P", F.concat(day, F.lit("T02:00:00.0")))
     kind = F.struct(rank.alias("typeId"), F.expr(_SPORT_SQL).alias("typeKey"))
-    flags = [(rank == 1).alias(f.json) for f in fl.ACTIVITY_REQUIRED]
-    item = F.struct(
-        F.col("o_orderkey").alias("activityId"),
+    mixed = [
+        *[(rank == 1).alias(f.json) for f in fl.ACTIVITY_REQUIRED],
         F.col("o_orderpriority").alias("activityName"),
-        kind.alias("activityType"),
-        F.struct(rank.alias("typeId"), F.col("o_orderstatus").alias("typeKey")).alias("eventType"),
-        F.concat(day, F.lit(" 00:00:00")).alias("startTimeGMT"),
-        F.concat(day, F.lit("T05:30:00.0")).alias("startTimeLocal"),
-        ended.alias("endTimeGMT"),
-        *flags,
-        (rank * 60.5).alias("duration"),
         F.col("o_totalprice").alias("averageHR"),
         F.col("o_custkey").alias("steps"),
         F.col("o_custkey").alias("strokes"),
@@ -225,59 +218,73 @@ def _activity_list(t: Tables) -> DataFrame:
         F.col("o_orderstatus").alias("extraText"),
         F.array(rank).alias("extraList"),
         rank.alias("ownerProfileImageUrlLarge"),
+    ]
+    item = F.struct(
+        F.col("o_orderkey").alias("activityId"),
+        kind.alias("activityType"),
+        F.struct(rank.alias("typeId"), F.col("o_orderstatus").alias("typeKey")).alias("eventType"),
+        F.concat(day, F.lit(" 00:00:00")).alias("startTimeGMT"),
+        F.concat(day, F.lit("T05:30:00.0")).alias("startTimeLocal"),
+        ended.alias("endTimeGMT"),
+        (rank * 60.5).alias("duration"),
+        *(mixed if fields is None else _of_orders(fields)),
     )
     return activity.split_list(as_docs(t.orders, F.to_json(F.array(item)), "o_custkey"))
 
 
+_ORDER_VALUES = ("o_totalprice", "o_orderkey", "o_orderstatus")
+
+
+def _of_orders(fields: list[fl.Field]) -> list[Column]:
+    return filled(fields, *map(F.col, _ORDER_VALUES))
+
+
+def _of_orders_sql(fields: list[fl.Field]) -> str:
+    return filled_sql(fields, *_ORDER_VALUES)
+
+
+_ACTIVITY = [*fl.ACTIVITY_REQUIRED, *[f for f in fl.ACTIVITY_OPTIONAL if f.json != "duration"]]
+
+
 @query(f"""
 select o_orderkey as activity_id, o_custkey as user_id, {_PRIORITY_NO} as activity_type_id,
-  {_SPORT_SQL} as activity_type_key, o_orderstatus as event_type_key, o_orderdate as start_ts,
+  {_SPORT_SQL} as activity_type_key, {_PRIORITY_NO} as event_type_id, o_orderstatus as event_type_key,
+  o_orderdate as start_ts,
   case when o_orderstatus <> 'P' then o_orderdate + interval 2 hour
     else o_orderdate + to_microseconds({_PRIORITY_NO} * 60500000) end as end_ts,
-  5.5::double as timezone_offset_hours, {_PRIORITY_NO} = 1 as auto_calc_calories,
-  {_PRIORITY_NO} * 60.5::double as duration, o_totalprice as average_hr, o_orderpriority as activity_name,
-  false as ts_data_available
+  5.5::double as timezone_offset_hours, {_PRIORITY_NO} * 60.5::double as duration,
+  {_of_orders_sql(_ACTIVITY)}, false as ts_data_available
 from orders
 """)
 def explode_activities(t: Tables) -> DataFrame:
-    rows = activity.explode_activities(_activity_list(t))
+    rows = activity.explode_activities(_activity_list(t, _ACTIVITY))
+    columns = [f.column for f in fl.ACTIVITY_REQUIRED + fl.ACTIVITY_OPTIONAL]
     return rows.select(
-        "activity_id", "user_id", "activity_type_id", "activity_type_key", "event_type_key",
+        "activity_id", "user_id", "activity_type_id", "activity_type_key", "event_type_id", "event_type_key",
         ntz(F.col("start_ts")).alias("start_ts"), ntz(F.col("end_ts")).alias("end_ts"),
-        "timezone_offset_hours", "auto_calc_calories", "duration", "average_hr", "activity_name",
-        "ts_data_available",
+        "timezone_offset_hours", *columns, "ts_data_available",
     )
 
 
-def _metrics(t: Tables, sport: str, *columns: str) -> DataFrame:
-    return activity.project_sport_metrics(_activity_list(t), sport).select("activity_id", *columns)
+def _metrics(t: Tables, sport: str) -> DataFrame:
+    fields = fl.SPORTS[sport]
+    rows = activity.project_sport_metrics(_activity_list(t, fields), sport)
+    return rows.select("activity_id", *[f.column for f in fields])
 
 
-@query(f"""
-select o_orderkey as activity_id, cast(o_custkey as double) as strokes, cast({_PRIORITY_NO} as double) as avg_swolf,
-  cast(null as double) as pool_length
-from orders where o_orderstatus = 'P'
-""")
+@query(f"select o_orderkey as activity_id, {_of_orders_sql(fl.SWIMMING)} from orders where o_orderstatus = 'P'")
 def project_swimming_metrics(t: Tables) -> DataFrame:
-    return _metrics(t, "swimming", "strokes", "avg_swolf", "pool_length")
+    return _metrics(t, "swimming")
 
 
-@query(f"""
-select o_orderkey as activity_id, o_totalprice as normalized_power, cast({_PRIORITY_NO} as double) as max_avg_power_20,
-  cast({_PRIORITY_NO} as double) as min_temperature, cast(null as double) as max_20min_power
-from orders where o_orderstatus = 'O'
-""")
+@query(f"select o_orderkey as activity_id, {_of_orders_sql(fl.CYCLING)} from orders where o_orderstatus = 'O'")
 def project_cycling_metrics(t: Tables) -> DataFrame:
-    return _metrics(t, "cycling", "normalized_power", "max_avg_power_20", "min_temperature", "max_20min_power")
+    return _metrics(t, "cycling")
 
 
-@query(f"""
-select o_orderkey as activity_id, cast(o_custkey as integer) as steps, o_totalprice as normalized_power,
-  cast({_PRIORITY_NO} as double) as min_temperature, cast(null as double) as vo2_max_value
-from orders where o_orderstatus = 'F'
-""")
+@query(f"select o_orderkey as activity_id, {_of_orders_sql(fl.RUNNING)} from orders where o_orderstatus = 'F'")
 def project_running_metrics(t: Tables) -> DataFrame:
-    return _metrics(t, "running", "steps", "normalized_power", "min_temperature", "vo2_max_value")
+    return _metrics(t, "running")
 
 
 @query(f"""
@@ -299,7 +306,7 @@ def unpivot_residual_metrics(t: Tables) -> DataFrame:
 
 @query(f"""
 select user_id, {MS} // 1000 * 1000 as ts_ms, case when event_type = 'click' then 0.0 else -3.5 end::double as offset_hours,
-  {VALUE} as score, event_type as level, cast(null as integer) as sleep_score, event_type = 'view' as valid_sleep
+  {filled_sql(fl.READINESS, "floor(value)", "event_id", "event_type")}
 from events where event_type <> 'error'
 """)
 def explode_training_readiness(t: Tables) -> DataFrame:
@@ -309,15 +316,13 @@ def explode_training_readiness(t: Tables) -> DataFrame:
     item = F.struct(
         F.when(kind != "error", stamp).alias("timestamp"),
         F.when(kind != "click", local).alias("timestampLocal"),
-        _int_value().alias("score"),
-        kind.alias("level"),
-        (kind == "view").alias("validSleep"),
+        *filled(fl.READINESS, _int_value().cast("double"), F.col("event_id"), kind),
         F.col("event_id").alias("deviceId"),
     )
     docs = as_docs(t.events, F.to_json(F.array(item)), "user_id")
     return training.explode_training_readiness(docs).select(
         "user_id", millis("timestamp").alias("ts_ms"), F.col("timezone_offset_hours").alias("offset_hours"),
-        "score", "level", "sleep_score", "valid_sleep",
+        *[f.column for f in fl.READINESS],
     )
 
 
@@ -343,76 +348,81 @@ def explode_personal_records(t: Tables) -> DataFrame:
     )
 
 
-@query("""
-select o_custkey as user_id, cast(o_orderdate as date) as date, o_totalprice as time_5k,
-  case when o_orderstatus = 'F' then cast(o_orderkey as double) end as time_marathon
-from orders
+@query(f"""
+select o_custkey as user_id, cast(o_orderdate as date) as date, {_of_orders_sql(fl.RACE_TIMES)} from orders
 """)
 def project_race_prediction(t: Tables) -> DataFrame:
     content = F.to_json(
         F.struct(
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("calendarDate"),
-            F.col("o_totalprice").alias("time5K"),
-            F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")).alias("timeMarathon"),
+            *_of_orders(fl.RACE_TIMES),
         )
     )
     docs = as_docs(t.orders, content, "o_custkey")
-    return training.project_race_prediction(docs).select("user_id", "date", "time_5k", "time_marathon")
+    return training.project_race_prediction(docs).select("user_id", "date", *[f.column for f in fl.RACE_TIMES])
 
 
-@query("""
-select c_custkey as user_id, lower(c_mktsegment) as gender, c_acctbal as weight, cast(c_nationkey as integer)
-  as lactate_threshold_heart_rate, cast(null as double) as height, c_name as full_name, date '1990-02-03' as birth_date
-from customer
+@query(f"""
+select * replace (lower(gender) as gender) from (
+  select c_custkey as user_id, {filled_sql(fl.USER_DATA, "c_acctbal", "c_custkey", "c_mktsegment")},
+    c_name as full_name, date '1990-02-03' as birth_date
+  from customer
+)
 """)
 def project_user_profile(t: Tables) -> DataFrame:
     data = F.struct(
-        F.col("c_mktsegment").alias("gender"),
-        F.col("c_acctbal").alias("weight"),
-        F.col("c_nationkey").alias("lactateThresholdHeartRate"),
+        *filled(fl.USER_DATA, F.col("c_acctbal"), F.col("c_custkey"), F.col("c_mktsegment")),
         F.lit("1990-02-03").alias("birthDate"),
     )
     content = F.to_json(F.struct(F.col("c_name").alias("full_name"), data.alias("userData")))
     docs = as_docs(t.customer, content, "c_custkey")
-    row = profile.project_user_profile(docs).select(
-        "user_id", "gender", "weight", "lactate_threshold_heart_rate", "height"
-    )
+    row = profile.project_user_profile(docs).select("user_id", *[f.column for f in fl.USER_DATA])
     person = profile.project_demographics(docs).select("user_id", "full_name", "birth_date")
     return row.join(person, "user_id")
 
 
-@query("""
+_NEEDS = {"sleepNeed": "sleep_need", "nextSleepNeed": "next_sleep_need"}
+_NEED_FIELDS = {
+    name: [fl.Field(f.json, f"{prefix}_{f.column}", f.kind) for f in fl.SLEEP_NEED] for name, prefix in _NEEDS.items()
+}
+_SCORE_FIELDS = [fl.Field(f"{name} {part}", column, kind) for name, part, column, kind in fl.SLEEP_SCORES]
+_SLEEP_PARTS = [
+    fl.SLEEP_DAILY, _SCORE_FIELDS, *_NEED_FIELDS.values(), fl.SLEEP_SPO2_SUMMARY, fl.SLEEP_ROOT,
+]
+
+
+@query(f"""
 select o_custkey as user_id, o_orderdate as start_ts, o_orderdate + interval 8 hour as end_ts,
-  2.0::double as timezone_offset_hours, o_orderpriority as hrv_status, o_totalprice as average_spo2,
-  cast(o_orderkey as integer) as sleep_need_actual, o_orderstatus as next_sleep_need_feedback,
-  cast(o_orderkey as integer) as duration_of_events_below_threshold, o_orderstatus = 'F' as rem_sleep_data,
-  o_orderpriority as score_overall_key
+  2.0::double as timezone_offset_hours, {", ".join(map(_of_orders_sql, _SLEEP_PARTS))}
 from orders
 """)
 def project_sleep_session(t: Tables) -> DataFrame:
     ms = millis("o_orderdate")
+    names = dict.fromkeys(name for name, *_ in fl.SLEEP_SCORES)
+    stated = {f.json: c for f, c in zip(_SCORE_FIELDS, _of_orders(_SCORE_FIELDS))}
+    scores = [
+        F.struct(*[stated[f"{name} {part}"].alias(part) for n, part, *_ in fl.SLEEP_SCORES if n == name]).alias(name)
+        for name in names
+    ]
     daily = F.struct(
         ms.alias("sleepStartTimestampGMT"),
         (ms + 28_800_000).alias("sleepEndTimestampGMT"),
         (ms + 7_200_000).alias("sleepStartTimestampLocal"),
-        F.col("o_orderpriority").alias("hrvStatus"),
-        F.col("o_totalprice").alias("averageSpO2Value"),
-        F.struct(F.col("o_orderkey").alias("actual")).alias("sleepNeed"),
-        F.struct(F.col("o_orderstatus").alias("feedback")).alias("nextSleepNeed"),
-        F.struct(F.struct(F.col("o_orderpriority").alias("qualifierKey")).alias("overall")).alias("sleepScores"),
+        *_of_orders(fl.SLEEP_DAILY),
+        *[F.struct(*_of_orders(fields)).alias(name) for name, fields in _NEED_FIELDS.items()],
+        F.struct(*scores).alias("sleepScores"),
     )
     content = F.to_json(
         F.struct(
             daily.alias("dailySleepDTO"),
-            F.struct(F.col("o_orderkey").alias("durationOfEventsBelowThreshold")).alias("wellnessSpO2SleepSummaryDTO"),
-            (F.col("o_orderstatus") == "F").alias("remSleepData"),
+            F.struct(*_of_orders(fl.SLEEP_SPO2_SUMMARY)).alias("wellnessSpO2SleepSummaryDTO"),
+            *_of_orders(fl.SLEEP_ROOT),
         )
     )
     rows = sleep.project_sleep_session(as_docs(t.orders, content, "o_custkey"))
     return rows.select(
         "user_id", ntz(F.col("start_ts")).alias("start_ts"), ntz(F.col("end_ts")).alias("end_ts"),
-        "timezone_offset_hours", "hrv_status", "average_spo2", "sleep_need_actual", "next_sleep_need_feedback",
-        "duration_of_events_below_threshold", "rem_sleep_data", "score_overall_key",
+        "timezone_offset_hours", *[f.column for part in _SLEEP_PARTS for f in part],
     )
 
 
@@ -427,14 +437,12 @@ def _status_docs(t: Tables) -> DataFrame:
         ).alias("cycling"),
         F.when(
             status == "F",
-            F.struct(day.alias("calendarDate"), F.col("o_orderkey").alias("currentAltitude"), status.alias("heatTrend")),
+            F.struct(day.alias("calendarDate"), *_of_orders(fl.ACCLIMATION)),
         ).alias("heatAltitudeAcclimation"),
     )
-    balance = F.struct(day.alias("calendarDate"), F.col("o_totalprice").alias("monthlyLoadAerobicLow"))
-    ratio = F.when(status != "P", F.struct(F.col("o_totalprice").alias("acwrPercent")))
-    load = F.struct(
-        after.alias("calendarDate"), F.length("o_orderpriority").alias("trainingStatus"), ratio.alias("acuteTrainingLoadDTO")
-    )
+    balance = F.struct(day.alias("calendarDate"), *_of_orders(fl.LOAD_BALANCE))
+    ratio = F.when(status != "P", F.struct(*_of_orders(fl.LOAD_RATIO)))
+    load = F.struct(after.alias("calendarDate"), *_of_orders(fl.LOAD_STATUS), ratio.alias("acuteTrainingLoadDTO"))
     content = F.to_json(
         F.struct(
             vo2.alias("mostRecentVO2Max"),
@@ -447,12 +455,15 @@ def _status_docs(t: Tables) -> DataFrame:
     return as_docs(t.orders, content, "o_custkey")
 
 
-@query("""
+@query(f"""
 select o_custkey as user_id, cast(o_orderdate as date) as date, 'generic' as kind, o_totalprice as value from orders
-union all select o_custkey, cast(o_orderdate + interval 1 day as date), 'cycling', o_orderkey from orders
-  where o_orderstatus = 'O'
-union all select o_custkey, cast(o_orderdate as date), 'altitude ' || o_orderstatus, o_orderkey from orders
-  where o_orderstatus = 'F'
+union all by name
+select o_custkey as user_id, cast(o_orderdate + interval 1 day as date) as date, 'cycling' as kind,
+  cast(o_orderkey as double) as value
+from orders where o_orderstatus = 'O'
+union all by name
+select o_custkey as user_id, cast(o_orderdate as date) as date, 'altitude' as kind, {_of_orders_sql(fl.ACCLIMATION)}
+from orders where o_orderstatus = 'F'
 """)
 def project_vo2_max(t: Tables) -> DataFrame:
     docs = _status_docs(t)
@@ -463,27 +474,34 @@ def project_vo2_max(t: Tables) -> DataFrame:
         for kind in ("generic", "cycling")
     ]
     altitude = training.project_acclimation(docs).select(
-        "user_id", "date", F.concat(F.lit("altitude "), "heat_trend").alias("kind"), F.col("current_altitude").alias("value")
+        "user_id", "date", F.lit("altitude").alias("kind"), *[f.column for f in fl.ACCLIMATION]
     )
-    return parts[0].unionByName(parts[1]).unionByName(altitude)
+    return parts[0].unionByName(parts[1]).unionByName(altitude, allowMissingColumns=True)
 
 
-@query("""
-select o_custkey as user_id, cast(o_orderdate as date) as date, o_totalprice as monthly_load_aerobic_low,
-  null::double as acwr_percent, null::integer as training_status from orders
-union all select o_custkey, cast(o_orderdate + interval 1 day as date), null,
-  case when o_orderstatus <> 'P' then o_totalprice end, cast(length(o_orderpriority) as integer) from orders
+@query(f"""
+select o_custkey as user_id, cast(o_orderdate as date) as date, {_of_orders_sql(fl.LOAD_BALANCE)} from orders
+union all by name
+select o_custkey as user_id, cast(o_orderdate + interval 1 day as date) as date, {_of_orders_sql(fl.LOAD_STATUS)},
+  {_of_orders_sql(fl.LOAD_RATIO)}
+from orders where o_orderstatus <> 'P'
+union all by name
+select o_custkey as user_id, cast(o_orderdate + interval 1 day as date) as date, {_of_orders_sql(fl.LOAD_STATUS)}
+from orders where o_orderstatus = 'P'
 """)
 def project_training_load(t: Tables) -> DataFrame:
     docs = _status_docs(t)
-    balance = training.project_training_load(docs, "balance").select("user_id", "date", "monthly_load_aerobic_low")
-    status = training.project_training_load(docs, "status").select("user_id", "date", "acwr_percent", "training_status")
+    balance = training.project_training_load(docs, "balance")
+    status = training.project_training_load(docs, "status")
+    status = status.select("user_id", "date", *[f.column for f in fl.LOAD_RATIO + fl.LOAD_STATUS])
+    balance = balance.select("user_id", "date", *[f.column for f in fl.LOAD_BALANCE])
     return balance.unionByName(status, allowMissingColumns=True)
 
 
 @query("""
 select l_orderkey as user_id, cast(l_shipdate as date) as date,
   case when l_returnflag = 'A' then l_linenumber end as moderate_minutes,
+  case when l_returnflag = 'N' then l_linenumber + 1 end as vigorous_minutes,
   case when l_returnflag <> 'R' then cast(l_quantity as integer) - l_linenumber end as total_intensity_minutes
 from lineitem where l_returnflag <> 'R' and l_linestatus = 'O'
 """)
@@ -493,13 +511,14 @@ def project_intensity_totals(t: Tables) -> DataFrame:
         F.struct(
             F.when(F.col("l_linestatus") == "O", F.date_format("l_shipdate", "yyyy-MM-dd")).alias("calendarDate"),
             F.when(flag == "A", F.col("l_linenumber")).alias("moderateMinutes"),
+            F.when(flag == "N", F.col("l_linenumber") + 1).alias("vigorousMinutes"),
             F.col("l_linenumber").alias("startDayMinutes"),
             F.when(flag != "R", F.col("l_quantity").cast("int")).alias("endDayMinutes"),
         )
     )
     docs = as_docs(t.lineitem, content, "l_orderkey")
     rows = wellness.project_intensity_totals(docs)
-    return rows.select("user_id", "date", "moderate_minutes", "total_intensity_minutes")
+    return rows.select("user_id", "date", *fl.INTENSITY_TOTALS)
 
 
 # Frames.
