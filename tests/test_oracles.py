@@ -7,6 +7,7 @@ from oracle import compare, connect
 from pulsemill.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,11 @@ def test_every_query_has_a_twin():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare(spark, con, name, QUERIES[name], ORACLES[name], FOLDER) is None
+    problem = compare(spark, con, name, QUERIES[name], ORACLES[name], FOLDER)
+    if problem == "no rows on either side":
+        # A narrow key may be absent from the smallest tables; the next ones must have it.
+        problem = compare(spark, connect(LARGER), name, QUERIES[name], ORACLES[name], LARGER)
+    assert problem is None
 
 
 def test_entry(spark):
