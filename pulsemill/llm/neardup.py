@@ -13,9 +13,13 @@ out of buckets are verified by their exact weighted Jaccard similarity, at least
 * texts that follow each other when a bucket is sorted by the bands after its own, in TURNS orders of bands:
   the more samples two texts share, the nearer they stand.
 
-So the pairs are linear in the texts of a bucket, no bucket is gathered in one place, and none is cut; a
-text has such partners in each of its BANDS buckets. Two texts of a bucket of more than three are not
-always compared directly; they share a class if verified links lead from one to the other.
+These pairs are linear in the texts of a bucket and join most of them. A bucket of more than two texts that
+is not one class by then is unsettled, and the remaining pairs of the texts of such buckets are found exactly,
+by a weighted prefix filter: with shingles in one order for all texts, rarest first, the first shingle that
+two similar texts share leaves behind it, in both, the weight that they need to have in common. So texts meet
+at shingles that leave at least THRESHOLD of their weight, and at 2 THRESHOLD / (1 + THRESHOLD) in the lighter
+text; pairs within a class are left out. Text that a whole group shares is frequent and comes late in the order.
+Hot shingles are dealt out by salt, no bucket is gathered in one place, and none is cut.
 Equal texts are one node. Classes are the connected components of the verified links.
 
 Nulls: a null text is empty; equal texts, empty ones too, are one class. Texts without words are alike
@@ -36,6 +40,7 @@ from pyspark.sql import functions as F
 from pulsemill.llm.graph import components
 from pulsemill.llm.ragged import as_bytes, split_words, text_slices
 from pulsemill.llm.shared import fresh, staged, whole_text
+from pulsemill.plans.skew import skew_join
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -45,6 +50,10 @@ ROWS = 2
 SLOTS = 1 << 16
 TURNS = 2
 DAMPING = 0.25
+# Texts of a hot shingle that one task compares with its partners.
+DEALT = 1024
+# Slack of sums in single precision.
+SLACK = 1 - 1e-5
 BLANKS = (32, 10, 9, 13)
 SLICE = 1 << 20
 
@@ -276,6 +285,72 @@ def _neighbours(members: DataFrame) -> DataFrame:
     return found.filter(F.col("part").isNull()).select("a", "b").unionByName(across)
 
 
+def prefixes(texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
+    """(key, n, root, total, rest): the shingles of texts (n, root, text), rarest first, as long as the weight
+    `rest` from there on is at least the threshold's share of the text's weight `total`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, part in text_slices(batch.column(2), SLICE):
+                value, tf, offsets = shingles(part)
+                own = idf.of(value)
+                text = np.repeat(np.arange(len(part)), np.diff(offsets))
+                order = np.lexsort((value, -own, text))
+                weight = (tf * own).astype(np.float64)[order]
+                ends = np.concatenate([[0.0], np.cumsum(weight)])
+                total = np.diff(ends[offsets])[text]
+                rest = ends[offsets[1:]][text] - ends[:-1]
+                kept = np.flatnonzero(rest >= SLACK * threshold * total)
+                place = pa.array(text[kept] + first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(value[order][kept].view(np.int64)), batch.column(0).take(place), batch.column(1).take(place),
+                        pa.array(total[kept].astype(np.float32)), pa.array(rest[kept].astype(np.float32)),
+                    ],
+                    names=["key", "n", "root", "total", "rest"],
+                )
+
+    return texts.select("n", "root", "text").mapInArrow(run, "key long, n long, root long, total float, rest float")
+
+
+def _remaining(members: DataFrame, roots: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
+    """Pairs (a, b) of texts of unsettled buckets: all that can reach the threshold and are in two classes."""
+    rooted = members.filter("size > 2").select("band", "hash", "n").join(roots.withColumnRenamed("node", "n"), "n", "left")
+    rooted = staged(rooted.withColumn("root", F.coalesce("root", "n")), "near-rooted")
+    mixed = rooted.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    unsettled = rooted.join(mixed.select("band", "hash"), ["band", "hash"], "left_semi").select("n", "root").distinct()
+    rows = staged(prefixes(texts.join(unsettled, "n"), idf, threshold), "near-prefixes")
+
+    # The lighter text of a pair needs this share of its weight.
+    short = F.col("rest") >= F.lit(SLACK * 2 * threshold / (1 + threshold)) * F.col("total")
+    sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"), F.max(short).alias("short"))
+    keys = sizes.groupBy("key").agg(
+        F.sum("size").alias("size"), F.count(F.lit(1)).alias("classes"), F.max("short").alias("short"), F.max_by("root", "size").alias("main")
+    )
+    keys = staged(keys.filter("classes > 1 and short").select("key", "size", "main"), "near-keys")
+    parts = F.ceil(F.col("size") / DEALT).cast("int")
+    held = skew_join(rows, keys, ["key"]).withColumn("parts", parts).withColumn("apart", F.col("root") != F.col("main"))
+    held = staged(held.select("key", "n", "root", "total", "rest", "parts", "apart"), "near-held")
+
+    # A pair in two classes has a text outside the largest class of the shingle.
+    left = held.filter(short).select(
+        "key", "parts", "apart", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"),
+        *[F.col(c).alias(f"{c}_a") for c in ("n", "root", "total", "rest")],
+    )
+    left = left.select("*", F.explode(F.when(F.col("apart"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))).alias("to"))
+    right = held.select(
+        "key", F.pmod(F.xxhash64("n"), F.col("parts")).cast("int").alias("salt"), F.col("apart").alias("to"), "n", "root", "total", "rest"
+    )
+    met = left.drop("parts", "apart").join(right, ["key", "salt", "to"])
+    needed = F.lit(SLACK * threshold / (1 + threshold)) * (F.col("total_a") + F.col("total"))
+    met = met.filter(
+        (F.col("root_a") != F.col("root"))
+        & (F.struct("total_a", "n_a") < F.struct(F.col("total").alias("total_a"), F.col("n").alias("n_a")))
+        & (F.least("rest_a", "rest") >= needed)
+    )
+    return met.select(F.least("n_a", "n").alias("a"), F.greatest("n_a", "n").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, node, class_id, class_size, keep): the class of every document, named by its smallest id, and
     whether the document is the one that stays; of rows with the same id and text each is marked."""
@@ -295,7 +370,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     size = members.groupBy("band", "hash").agg(
         F.count(F.lit(1)).alias("size"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("least")
     )
-    shared = size.filter("size > 1").select("band", "hash", F.col("least.n").alias("leader"))
+    shared = size.filter("size > 1").select("band", "hash", "size", F.col("least.n").alias("leader"))
     members = staged(members.drop("id").join(shared, ["band", "hash"]), "near-members")
 
     involved = members.select("n").distinct().join(nodes.select("n", "node"), "n")
@@ -305,7 +380,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     star = members.filter("n <> leader").select(F.col("leader").alias("a"), F.col("n").alias("b"))
     pairs = star.unionByName(_neighbours(members)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = staged(pairs.distinct(), "near-pairs")
-    roots = components(staged(similar(pairs, texts, idf, threshold), "near-links"), "near")
+    links = staged(similar(pairs, texts, idf, threshold), "near-links")
+    roots = components(links, "near")
+    more = _remaining(members, roots, texts, idf, threshold).join(pairs, ["a", "b"], "left_anti")
+    new = staged(similar(staged(more, "near-pairs"), texts, idf, threshold), "near-links")
+    if new.limit(1).count():
+        roots = components(links.unionByName(new), "near")
 
     rooted = nodes.select("n", "node", "id", "rows").join(roots.withColumnRenamed("node", "n"), "n", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "n"))
