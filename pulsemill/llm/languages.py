@@ -1,7 +1,7 @@
 """Language identification by fusing evidence.
 
 The log likelihood of a text under each language comes from hashed letter trigrams, fitted on a bounded
-sample of about TRAIN_DOCS labelled documents; as overlapping trigrams repeat each other, a third of it
+sample of about TRAIN_DOCS labelled documents, equally many of every label that has them; as overlapping trigrams repeat each other, a third of it
 counts. The class UNKNOWN has a uniform likelihood, so a text that fits no language better than chance is
 rejected, and so is one without letters. To this are added
 
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.llm.ragged import text_slices
-from pulsemill.llm.shared import BROADCAST_ROWS, lookup_join, staged
+from pulsemill.llm.shared import BROADCAST_ROWS, fresh, lookup_join, staged
 
 # Bound of the sample that the trigram model is fitted on.
 TRAIN_DOCS = 20_000
@@ -41,8 +41,12 @@ SLICE = 2 << 20
 UNKNOWN = "und"
 # Share of overlapping trigrams that counts.
 TEMPER = 1 / 3
-# Labels of at least this share of the sample become languages, so there are at most a hundred.
+# Labels of so many rows become languages, however small their share of the table; in tables of fewer than a
+# hundred times as many rows a share of LEAST_SHARE is enough.
+LEAST_DOCS = 5
 LEAST_SHARE = 0.01
+# Languages that are scored at once, which bounds memory.
+BLOCK = 16
 # Rows that the parent's prior counts for.
 STRENGTH = 20.0
 # Prior of a text in none of the languages.
@@ -82,14 +86,18 @@ def trigram_slots(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_trigrams(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id", most: int = TRAIN_DOCS) -> Trigrams:
-    """Count trigrams per label over a bounded sample, dealt by hash."""
+    """Count trigrams per label over a sample dealt by hash: about `most` rows in equal parts, and at least
+    LEAST_DOCS of a label."""
     labelled = docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
-    total = max(1, labelled.count())
-    sample = labelled.filter(F.pmod(F.xxhash64(key, text), F.lit(total)) < most)
-    counts = sample.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.orderBy(F.desc("n"), label).limit(100).collect()
-    seen = sum(r["n"] for r in rows)
-    languages = tuple(sorted(r[0] for r in rows if r["n"] >= LEAST_SHARE * seen))
+    total = labelled.count()
+    counts = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.filter(F.col("n") >= min(LEAST_DOCS, LEAST_SHARE * total)).collect()
+    languages = tuple(sorted(r[0] for r in rows))
+    quota = max(LEAST_DOCS, most // max(1, len(rows)))
+    own, size = fresh("label", "size")
+    sizes = docs.sparkSession.createDataFrame([(r[0], r["n"]) for r in rows], f"{own} string, {size} long")
+    sample = labelled.join(F.broadcast(sizes), F.col(label) == F.col(own))
+    sample = sample.filter(F.pmod(F.xxhash64(key, text), F.col(size)) < quota)
     place = {name: i for i, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +107,8 @@ def fit_trigrams(docs: DataFrame, label: str = "lang", text: str = "text", key:
                 slots, offsets = trigram_slots(texts)
                 labels = batch.column(0).slice(first, len(texts)).to_pylist()
                 row = np.repeat([place.get(name, -1) for name in labels], np.diff(offsets))
-                sums += np.bincount((row * SLOTS + slots)[row >= 0], minlength=len(sums))
+                cell, n = np.unique((row * SLOTS + slots)[row >= 0], return_counts=True)
+                sums[cell] += n
         cell = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(sums[cell])], names=["cell", "n"])
 
@@ -124,7 +133,9 @@ def with_likelihoods(docs: DataFrame, model: Trigrams, text: str, out: str) -> D
                 sums = np.zeros((len(texts), table.shape[1]))
                 full = np.flatnonzero(np.diff(offsets))
                 if len(full):
-                    sums[full] = np.add.reduceat(table[slots], offsets[full], axis=0, dtype=np.float64) * TEMPER
+                    for n in range(0, table.shape[1], BLOCK):
+                        each = table[:, n : n + BLOCK][slots]
+                        sums[full, n : n + BLOCK] = np.add.reduceat(each, offsets[full], axis=0, dtype=np.float64) * TEMPER
                 rows = [r if n else None for r, n in zip(sums, np.diff(offsets))]
                 part = batch.slice(first, len(texts))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, pa.list_(pa.float64()))], names=names)
@@ -221,10 +232,10 @@ def identify(
     of_host = smooth(without("_of_host"), of_suffix)
     parts = [F.transform(of_host, lambda p: F.log(p))]
     for column, table in (("_declared", by_declared), ("_segment", by_segment)):
-        chosen = F.lit(None).cast("array<double>")
-        for value, logs in table.items():
-            chosen = F.when(_known(column, classes) == value, _array(logs)).otherwise(chosen)
-        parts.append(F.coalesce(chosen, zeros))
+        # One row per language at most.
+        logs = docs.sparkSession.createDataFrame(list(table.items()), f"{column}_tag string, {column}_logs array<double>")
+        judged = judged.join(F.broadcast(logs), _known(column, classes) == F.col(f"{column}_tag"), "left")
+        parts.append(F.coalesce(F.col(f"{column}_logs"), zeros))
     fused = F.zip_with("_scores", base, lambda s, b: s + b)
     for part in parts:
         fused = F.zip_with(fused, part, lambda s, p: s + p)

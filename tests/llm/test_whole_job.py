@@ -5,6 +5,8 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from corpus_pipeline import language_id
+from pulsemill.llm.languages import fit_trigrams, identify
 from pulsemill.llm.neardup import fit_idf, near_duplicates, shingles
 from pulsemill.llm.shared import ready
 
@@ -44,3 +46,19 @@ def test_near_pairs_inside_a_template_group(spark):
     classes = {r.id: r.class_id for r in near_duplicates(docs).collect()}
     assert all(classes[x] == classes[y] for x, y in zip(a.tolist(), b.tolist()))
     assert len(set(classes.values())) == len(texts) - len(a)
+
+
+def test_rare_languages_stay(spark):
+    """A language of far less than 1 % of the table, in a script of its own."""
+    ready(spark)
+    words = {"en": "the of and that with this house", "de": "der und nicht ein das wohnung ist", "ru": "дом который город вечером они"}
+    sizes = {"en": 1500, "de": 1500, "ru": 8}
+    rows = [
+        (len(text) * 10_000 + n, " ".join((text.split() * 5)[n % 5 :]), lang, "src", 9)
+        for lang, text in words.items() for n in range(sizes[lang])
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(4)
+    found = identify(docs, fit_trigrams(docs), declared=docs.lang, host=docs.source).collect()
+    assert all(r.language == r.lang and r.accepted for r in found)
+    kept = language_id(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in rows)
