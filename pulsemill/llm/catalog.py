@@ -136,3 +136,50 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     from pulsemill.llm.personal import personal_report
 
     return personal_report(tables(spark, folder, "documents"))
+
+
+# Address rules: verdict, host and the start of the path.
+RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@query
+def op12_filter_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    """Listed are the addresses that no rule fits on hosts with more blocked than allowed addresses."""
+    from pulsemill.llm.cascade import build_cascade, filter_addresses, keys_of_blocked_hosts
+
+    pages = tables(spark, folder, "pages").select("page_id", "url")
+    cascade = build_cascade(*keys_of_blocked_hosts(pages, RULES))
+    return filter_addresses(pages, RULES, cascade).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op12_filter_cascade"] = r"""
+with split as (
+  select page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host
+  from pages
+), ruled as (
+  select *, case
+    when ('.' || host) like '%.example.org' and starts_with(path, '/en/1') then 'example.org/en/1'
+    when ('.' || host) like '%.example.org' and starts_with(path, '/es/') then 'example.org/es/'
+    when ('.' || host) like '%.com' and starts_with(path, '/fr/') then 'com/fr/'
+    when ('.' || host) like '%.com' and starts_with(path, '/de/') then 'com/de/'
+    when ('.' || host) like '%.org' and starts_with(path, '/') then 'org/'
+  end as rule
+  from split
+), said as (
+  select *, case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null then 'block' end as says from ruled
+), bad as (
+  select host from (select distinct host, path, says from said)
+  group by host having count(*) filter (says = 'block') > count(*) filter (says = 'allow')
+)
+select page_id, host, path, rule,
+  coalesce(says, case when host in (select host from bad) then 'block' else 'allow' end) as verdict
+from said
+"""
