@@ -13,6 +13,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 WORD_FILE = "word_bpe_49k.json"
+BYTE_FILE = "byte_bpe_50k.json"
 PIECE_FILE = "piece_bpe_32k.model"
 
 
@@ -183,3 +184,10 @@ select page_id, host, path, rule,
   coalesce(says, case when host in (select host from bad) then 'block' else 'allow' end) as verdict
 from said
 """
+
+
+@query
+def op11_token_overlaps(spark: SparkSession, folder: str) -> DataFrame:
+    from pulsemill.llm.alignment import align
+
+    return align(tables(spark, folder, "documents"), tokenizer_path(BYTE_FILE), tokenizer_path(PIECE_FILE))
