@@ -191,3 +191,12 @@ def op11_token_overlaps(spark: SparkSession, folder: str) -> DataFrame:
     from pulsemill.llm.alignment import align
 
     return align(tables(spark, folder, "documents"), tokenizer_path(BYTE_FILE), tokenizer_path(PIECE_FILE))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of the documents, of which a tenth is given a periodic end."""
+    from pulsemill.llm.periodic import find_runs, made_periodic, run_report
+
+    docs = tables(spark, folder, "documents")
+    return run_report(find_runs(docs.select("doc_id", made_periodic(F.col("text"), F.col("doc_id")).alias("text"))))
