@@ -164,7 +164,7 @@ def _report(texts: pa.Array) -> list[pa.Array]:
     np.add.at(steps, begin + runs[:, 2], -1)
     stays = np.cumsum(steps[:-1]) == 0
     kept = np.concatenate([[0], np.cumsum(stays)])[offsets]
-    lists = pa.LargeListArray.from_arrays(pa.array(kept, pa.int64()), words.filter(pa.array(stays)))
+    lists = pa.ListArray.from_arrays(pa.array(kept, pa.int32()), words.filter(pa.array(stays)).cast(pa.string()))
     order = np.lexsort((runs[:, 3], runs[:, 1], runs[:, 0]))
     runs = runs[order]
     triples = pa.StructArray.from_arrays([pa.array(runs[:, c], pa.int64()) for c in (1, 2, 3)], names=["start", "length", "period"])
@@ -172,7 +172,7 @@ def _report(texts: pa.Array) -> list[pa.Array]:
     return [
         pa.array(np.diff(offsets), pa.int64()),
         pa.ListArray.from_arrays(pa.array(at, pa.int32()), triples),
-        pc.binary_join(lists, " ").cast(pa.string()),
+        pc.binary_join(lists, " "),
     ]
 
 
