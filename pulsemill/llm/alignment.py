@@ -1,7 +1,7 @@
 """Tokens of two tokenizers over the same text, aligned by their byte ranges.
 
 A is a byte-level tokenizer file that reads a blank and the text, B a sentencepiece model that adds the
-blank itself. The tokens of both tile the same bytes. All tokens of a slice of documents are sorted by their
+blank itself. A text falls apart at blanks that surely begin a token, and each distinct part is encoded once. The tokens of both tile the same bytes. All tokens of a slice of documents are sorted by their
 start; where a start reaches the running maximum of the ends, a group ends. Inside a group every A token is
 linked to the B tokens whose range it overlaps.
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemill.llm.ragged import text_slices
+from pulsemill.llm.codec import PieceCodec
+from pulsemill.llm.ragged import as_bytes, distinct, from_bytes, gather, text_slices
 from pulsemill.llm.shared import staged
 
-BLOCK = 2 << 20
-MARK = "▁"
+BLOCK = 1 << 20
+# Text bytes that are encoded together.
+SLICE = 2 << 20
+# Chunks that the library reads as one text, and texts of one call.
+JOINED, CALL = 512, 8
 
 
 def _byte_letters() -> dict[str, int]:
@@ -43,23 +48,55 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
+def _plain(byte: np.ndarray) -> np.ndarray:
+    return (byte > 0x20) & (byte < 0x7F)
+
+
+def _lead(byte: np.ndarray) -> np.ndarray:
+    """First bytes of letters of two bytes, without the block that has blanks."""
+    return (byte >= 0xC3) & (byte <= 0xDF)
+
+
+def _opens(byte: np.ndarray) -> np.ndarray:
+    return _plain(byte) | _lead(byte)
+
+
+def chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Parts of every text that a byte-level tokenizer reads one by one, and each text's offset into them.
+
+    A token with a blank in front begins at every blank between two letters, digits or marks, whatever is
+    before and behind it. Cuts are made where both neighbours are ASCII or of two bytes, none of them white.
+    """
+    flat, offsets = as_bytes(texts)
+    n = len(flat)
+    before, behind = np.zeros(n, bool), np.zeros(n, bool)
+    before[1:] = _plain(flat[:-1])
+    before[2:] |= _lead(flat[:-2])
+    behind[:-1] = _opens(flat[1:])
+    cut = np.zeros(n + 1, bool)
+    cut[:-1] = (flat == 0x20) & before & behind
+    cut[offsets] = True
+    starts = np.flatnonzero(cut[:-1])
+    counted = np.concatenate([[0], np.cumsum(cut[:-1])])
+    return from_bytes(flat, np.append(starts, n)), counted[offsets]
+
+
 class Tokenizers:
-    """Both libraries with the bytes of every id."""
+    """Both tokenizers with the bytes of every id."""
 
     def __init__(self, byte_file: str, piece_file: str):
-        from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(byte_file)
         self.a.encode_special_tokens = True
-        self.b = SentencePieceProcessor(model_file=piece_file)
+        self.b = PieceCodec(piece_file)
         letters = _byte_letters()
-        vocab = sorted((i, token) for token, i in self.a.get_vocab().items())
-        self.bytes_a = [b""] * (vocab[-1][0] + 1)
-        for i, token in vocab:
+        vocab = self.a.get_vocab()
+        self.bytes_a = np.full(max(vocab.values()) + 1, b"", object)
+        for token, i in vocab.items():
             known = all(c in letters for c in token)
             self.bytes_a[i] = bytes(letters[c] for c in token) if known else token.encode()
-        self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_b = self.b.surface
         self.sizes_a = np.array([len(x) for x in self.bytes_a])
         self.sizes_b = np.array([len(x) for x in self.bytes_b])
         self.first_b = len(self.bytes_a)
@@ -67,25 +104,56 @@ class Tokenizers:
         numbers = [str(i) for i in range(len(self.bytes_a))] + [str(i) for i in range(len(self.bytes_b))]
         self.written = np.array([n + mark for mark in ("", ",", "|", ";") for n in numbers], object)
 
-    def _piece(self, i: int) -> bytes:
-        piece = self.b.id_to_piece(i)
-        if self.b.is_byte(i):
-            return bytes([int(piece[1:-1], 16)])
-        return piece.replace(MARK, " ").encode()
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for every text; none where the bytes differ."""
-        of_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        of_b = self.b.encode(texts, num_threads=1) if texts else []
-        for n, text in enumerate(texts):
-            own = (" " + text).encode()
-            if (
-                not text
-                or b"".join([self.bytes_a[i] for i in of_a[n]]) != own
-                or b"".join([self.bytes_b[i] for i in of_b[n]]) != own
-            ):
-                of_a[n], of_b[n] = [], []
-        return of_a, of_b
+    def _encode_a(self, led: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        parts, offsets = chunks(led)
+        index, known = distinct(parts)
+        flat, ends = as_bytes(known)
+        # Chunks that were cut off at both ends can be read as one text, cut by the lengths of its tokens.
+        head, tail = flat[np.minimum(ends[:-1] + 1, ends[1:] - 1)], flat[ends[1:] - 1]
+        inner = (flat[ends[:-1]] == 0x20) & (np.diff(ends) > 1) & _opens(head)
+        inner &= _plain(tail) | (np.diff(ends) > 2) & _lead(flat[np.maximum(ends[1:] - 2, 0)])
+        order = np.concatenate([np.flatnonzero(inner), np.flatnonzero(~inner)])
+        joined = known.take(pa.array(order))
+        n = int(inner.sum())
+        size = np.diff(ends)[order]
+        texts = ["".join(joined[i : min(i + JOINED, n)].to_pylist()) for i in range(0, n, JOINED)] + joined[n:].to_pylist()
+        found = [np.empty(0, np.int64)]
+        for i in range(0, len(texts), CALL):
+            coded = self.a.encode_batch_fast(texts[i : i + CALL], add_special_tokens=False)
+            found.append(np.fromiter(chain.from_iterable(e.ids for e in coded), np.int64))
+        ids = np.concatenate(found)
+        # The first token of every chunk begins where the chunk begins.
+        begins = np.concatenate([[0], np.cumsum(self.sizes_a[ids])])
+        places = np.searchsorted(begins, np.concatenate([[0], np.cumsum(size)]))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        ids, at = gather(ids, places, back[index])
+        return ids, at[offsets]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both for all texts and each text's offset into them; none where the bytes differ."""
+        texts = texts.cast(pa.large_string())
+        space = pa.scalar(" ", pa.large_string())
+        led = pc.binary_join_element_wise(space, texts, pa.scalar("", pa.large_string()))
+        ids_a, at_a = self._encode_a(led)
+        ids_b, at_b = self.b.encode(texts)
+        flat, ends = as_bytes(led)
+        whole = memoryview(flat)
+        good = [
+            j > i + 1
+            and whole[i:j] == b"".join(self.bytes_a[ids_a[a:b]].tolist())
+            and whole[i:j] == b"".join(self.bytes_b[ids_b[c:d]].tolist())
+            for i, j, a, b, c, d in zip(*(x.tolist() for x in (ends[:-1], ends[1:], at_a[:-1], at_a[1:], at_b[:-1], at_b[1:])))
+        ]
+        if not all(good):
+            ids_a, at_a = gather(*_without(ids_a, at_a, good))
+            ids_b, at_b = gather(*_without(ids_b, at_b, good))
+        return ids_a, at_a, ids_b.astype(np.int64), at_b
+
+
+def _without(ids: np.ndarray, offsets: np.ndarray, good: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The groups, with one empty group behind them, and which of them each text keeps."""
+    return ids, np.append(offsets, offsets[-1]), np.where(good, np.arange(len(good)), len(good))
 
 
 @cache
@@ -113,54 +181,46 @@ def overlaps(starts_a, ends_a, starts_b, ends_b) -> tuple[np.ndarray, np.ndarray
     return a, first[a] + inside
 
 
-def _aligned(both: Tokenizers, texts: list[str]) -> dict:
+def _aligned(both: Tokenizers, ids_a: np.ndarray, at_a: np.ndarray, ids_b: np.ndarray, at_b: np.ndarray) -> dict:
     """Counts, digests and the distinct links of each text."""
-    n = len(texts)
-    rows_a, rows_b = both.encode(texts)
-    count_a, count_b = np.array([len(r) for r in rows_a], np.int64), np.array([len(r) for r in rows_b], np.int64)
-    ids_a = np.array([i for r in rows_a for i in r], np.int64)
-    ids_b = np.array([i for r in rows_b for i in r], np.int64)
+    n = len(at_a) - 1
     # One line of bytes for all texts: groups and links cannot cross from one text to the next.
     ends_a, ends_b = np.cumsum(both.sizes_a[ids_a]), np.cumsum(both.sizes_b[ids_b])
     ranges = ends_a - both.sizes_a[ids_a], ends_a, ends_b - both.sizes_b[ids_b], ends_b
-    doc = np.concatenate([np.repeat(np.arange(n), count_a), np.repeat(np.arange(n), count_b)])
 
     order, group = coalesce(*ranges)
+    # A tokens before B tokens within their group, each side in its order.
     side = order >= len(ids_a)
-    by_group = np.lexsort((order, side, group))
+    by_group = np.argsort(2 * group + side, kind="stable")
     order, group, side = order[by_group], group[by_group], side[by_group]
-    doc_of = doc[order]
-    n_groups = np.zeros(n, np.int64)
-    if len(order):
-        new = np.append(True, group[1:] != group[:-1])
-        n_groups = np.bincount(doc_of[new], minlength=n)
-    same = np.append((group[1:] == group[:-1]) & (side[1:] == side[:-1]), False)
-    turn = np.append((group[1:] == group[:-1]) & (side[1:] != side[:-1]), False)
-    stop = np.append(doc_of[1:] != doc_of[:-1], True)[: len(order)]
-    mark = np.where(same[: len(order)], 1, np.where(turn[: len(order)], 2, np.where(stop, 0, 3)))
+    at = at_a + at_b
+    marks = np.full(len(order), 3)
+    marks[:-1][group[1:] == group[:-1]] = 2
+    marks[:-1][(group[1:] == group[:-1]) & (side[1:] == side[:-1])] = 1
+    marks[at[1:][np.diff(at) > 0] - 1] = 0
+    groups = np.concatenate([[0], np.cumsum((marks == 3) | (marks == 0))])
     number = np.concatenate([ids_a, ids_b + both.first_b])[order]
-    letters = both.written[mark * (len(both.written) // 4) + number]
-    at = np.searchsorted(doc_of, np.arange(n + 1))
+    letters = both.written[marks * (len(both.written) // 4) + number].tolist()
     digests = [
-        hashlib.sha256("".join(letters[i:j].tolist()).encode()).hexdigest() if j > i else "" for i, j in zip(at[:-1], at[1:])
+        hashlib.sha256("".join(letters[i:j]).encode()).hexdigest() if j > i else ""
+        for i, j in zip(at[:-1].tolist(), at[1:].tolist())
     ]
 
     a, b = overlaps(*ranges)
-    link_doc = doc[a]
-    pair = ids_a[a] * len(both.bytes_b) + ids_b[b]
-    key = np.lexsort((pair, link_doc))
-    pair, link_doc = pair[key], link_doc[key]
-    first = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (link_doc[1:] != link_doc[:-1]))[: len(pair)])
-    times = np.diff(np.append(first, len(pair)))
+    pairs = len(both.bytes_a) * len(both.bytes_b)
+    doc = np.repeat(np.arange(n), np.diff(at_a))[a]
+    link = np.sort(doc * pairs + ids_a[a] * len(both.bytes_b) + ids_b[b])
+    first = np.flatnonzero(np.append(True, link[1:] != link[:-1])[: len(link)])
+    held = link[first]
     return {
-        "n_a": count_a,
-        "n_b": count_b,
-        "n_groups": n_groups,
-        "n_links": np.bincount(link_doc, minlength=n),
+        "n_a": np.diff(at_a),
+        "n_b": np.diff(at_b),
+        "n_groups": groups[at[1:]] - groups[at[:-1]],
+        "n_links": np.bincount(doc, minlength=n),
         "digests": digests,
-        "pair": pair[first],
-        "times": times,
-        "at": np.searchsorted(link_doc[first], np.arange(n + 1)),
+        "pair": held % pairs,
+        "times": np.diff(np.append(first, len(link))),
+        "at": np.searchsorted(held, np.arange(n + 1) * pairs),
     }
 
 
@@ -173,22 +233,29 @@ def aligned(docs: DataFrame, byte_file: str, piece_file: str, doc_id: str = "doc
         both = _tokenizers(byte_file, piece_file)
         block = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for first, texts in text_slices(batch.column(1), BLOCK):
-                done = _aligned(both, texts.to_pylist())
-                pair, docs_with = np.unique(done["pair"], return_counts=True)
-                n = len(texts)
-                places = np.append(done["at"], done["at"][-1] + len(pair))
-                lists = [
-                    pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(np.append(own, all_), kind))
-                    for own, all_, kind in ((done["pair"], pair, pa.int64()), (done["times"], docs_with, pa.int32()))
-                ]
-                counts = [pa.array([*done[c].tolist(), None], pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")]
-                ids = pa.concat_arrays([batch.column(0).slice(first, n), pa.nulls(1, batch.column(0).type)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * (n + 1), pa.int64()), ids, *counts, pa.array([*done["digests"], None], pa.string()), *lists],
-                    names=["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"],
-                )
-                block += 1
+            for begin, whole in text_slices(batch.column(1), SLICE):
+                ids_a, at_a, ids_b, at_b = both.encode(whole)
+                for first, texts in text_slices(whole, BLOCK):
+                    of = slice(first, first + len(texts) + 1)
+                    (a, *_, a_end), (b, *_, b_end) = at_a[of], at_b[of]
+                    done = _aligned(both, ids_a[a:a_end], at_a[of] - a, ids_b[b:b_end], at_b[of] - b)
+                    yield described(block, batch.column(0).slice(begin + first, len(texts)), done)
+                    block += 1
+
+    def described(block: int, ids: pa.Array, done: dict) -> pa.RecordBatch:
+        pair, docs_with = np.unique(done["pair"], return_counts=True)
+        n = len(ids)
+        places = np.append(done["at"], done["at"][-1] + len(pair))
+        lists = [
+            pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(np.append(own, all_), kind))
+            for own, all_, kind in ((done["pair"], pair, pa.int64()), (done["times"], docs_with, pa.int32()))
+        ]
+        counts = [pa.array([*done[c].tolist(), None], pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")]
+        keys = pa.concat_arrays([ids, pa.nulls(1, ids.type)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block] * (n + 1), pa.int64()), keys, *counts, pa.array([*done["digests"], None], pa.string()), *lists],
+            names=["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"],
+        )
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id), F.col(text)).mapInArrow(
@@ -227,9 +294,10 @@ def align(docs: DataFrame, byte_file: str, piece_file: str, doc_id: str = "doc_i
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every document."""
     from sentencepiece import SentencePieceProcessor
 
+    n_b = SentencePieceProcessor(model_file=piece_file).get_piece_size()
     rows = staged(aligned(docs, byte_file, piece_file, doc_id, text), "align-rows")
     blocks = rows.filter("n_a is null").select(F.col("block").alias("place"), "pairs", "times")
-    counts = staged(pair_counts(blocks, SentencePieceProcessor(model_file=piece_file).get_piece_size()), "align-counts")
+    counts = staged(pair_counts(blocks, n_b), "align-counts")
     wanted = blocks.select("place", F.explode("pairs").alias("pair")).join(counts, "pair")
     kind = docs.schema[doc_id].dataType.simpleString()
     return (
