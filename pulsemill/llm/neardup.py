@@ -9,16 +9,19 @@ Each text gets BANDS x DEPTH consistent weighted samples; two texts agree in a s
 of their weighted Jaccard similarity. Texts that agree in a whole band are in one bucket. Pairs that come
 out of buckets are verified by their exact weighted Jaccard similarity, at least THRESHOLD:
 
-* every text with the smallest document of its bucket,
-* texts that follow each other when a bucket is sorted by the bands after its own, in TURNS orders of bands:
-  the more samples two texts share, the nearer they stand.
-
-These pairs are linear in the texts of a bucket and join most of them. A bucket of more than two texts that
-is not one class by then is unsettled, and the remaining pairs of the texts of such buckets are found exactly,
-by a weighted prefix filter: with shingles in one order for all texts, rarest first, the first shingle that
-two similar texts share leaves behind it, in both, the weight that they need to have in common. So texts meet
-at shingles that leave at least THRESHOLD of their weight, and at 2 THRESHOLD / (1 + THRESHOLD) in the lighter
-text; pairs within a class are left out. Text that a whole group shares is frequent and comes late in the order.
+* every text with the first document of its largest bucket,
+* then, in at most TURNS rounds, the classes that are left in a bucket: one text stands for each class, and
+  those that follow each other are compared when the bucket is sorted by the bands after its own (the more
+  samples two texts share, the nearer they stand). A round has at most one pair per class and bucket.
+
+A bucket of more than two texts that is not one class by then is unsettled, and the remaining pairs of the texts
+of such buckets are found exactly, by a weighted prefix filter: with shingles in one order for all texts, rarest
+first, the first shingle that two similar texts share leaves behind it, in both, the weight that they need to
+have in common. So texts meet at shingles that leave at least THRESHOLD of their weight, and at
+2 THRESHOLD / (1 + THRESHOLD) in the lighter text. At each such shingle a class is one row, with the most weight
+that any of its texts leaves and the least weight that any has: a bound for all of them. A text meets the rows of
+larger classes and is compared with one text of each. Only where that was no link, and no other link has joined
+them, the text meets the class's texts one by one.
 Hot shingles are dealt out by salt, no bucket is gathered in one place, and none is cut.
 Equal texts are one node. Classes are the connected components of the verified links.
 
@@ -30,6 +33,7 @@ No rows give no rows; other columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +50,14 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 13
 DEPTH = 4
+TURNS = 2
 ROWS = 2
 SLOTS = 1 << 16
-TURNS = 2
 DAMPING = 0.25
 # Texts of a hot shingle that one task compares with its partners.
 DEALT = 1024
+# Parts of the rows of a shingle when they are looked up.
+COPIES = 8
 # Slack of sums in single precision.
 SLACK = 1 - 1e-5
 BLANKS = (32, 10, 9, 13)
@@ -239,9 +245,9 @@ def similar(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> D
 
 
 def _neighbours(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of texts that follow each other in a bucket, sorted by the bands after its own and
-    again by later bands. Buckets are cut anywhere by a range sort; a task pairs the rows that it reads
-    in order, and the first row of a partition follows the last one of the partition before."""
+    """Pairs (a, b) of texts that follow each other in a bucket (band, hash) in their `order` there. Buckets
+    are cut anywhere by a range sort; a task pairs the rows that it reads in order, and the first row of a
+    partition follows the last one of the partition before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -249,16 +255,16 @@ def _neighbours(members: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            turn, band, hashed, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:4])
-            here = [x[0].item() for x in (turn, band, hashed, node)]
+            band, hashed, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:3])
+            here = [x[0].item() for x in (band, hashed, node)]
             first = first or here
             if last:
-                turn, band, hashed, node = (np.append(x, y) for x, y in zip(last, (turn, band, hashed, node)))
-            same = (turn[1:] == turn[:-1]) & (band[1:] == band[:-1]) & (hashed[1:] == hashed[:-1]) & (node[1:] != node[:-1])
-            last = [x[-1].item() for x in (turn, band, hashed, node)]
+                band, hashed, node = (np.append(x, y) for x, y in zip(last, (band, hashed, node)))
+            same = (band[1:] == band[:-1]) & (hashed[1:] == hashed[:-1]) & (node[1:] != node[:-1])
+            last = [x[-1].item() for x in (band, hashed, node)]
             yield _pairs(node[:-1][same], node[1:][same])
         if last:
-            yield _pairs([first[3]], [last[3]], part, ":".join(map(str, first[:3])), ":".join(map(str, last[:3])))
+            yield _pairs([first[2]], [last[2]], part, ":".join(map(str, first[:2])), ":".join(map(str, last[:2])))
 
     def _pairs(a, b, part=None, head=None, tail=None) -> pa.RecordBatch:
         n = len(a)
@@ -268,14 +274,8 @@ def _neighbours(members: DataFrame) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(columns, names=["a", "b", "part", "head", "tail"])
 
-    rows = members.select(
-        F.explode(F.array(*[F.struct(F.lit(t).alias("turn"), F.col(f"o{t}").alias("order")) for t in range(TURNS)])).alias("by"),
-        "band",
-        "hash",
-        "n",
-    ).select("by.turn", "band", "hash", "n", F.col("by.order").alias("order"))
-    keys = ["turn", "band", "hash", "order", "n"]
-    sorted_ = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    keys = ["band", "hash", "order", "n"]
+    sorted_ = members.select("band", "hash", "n", "order").repartitionByRange(*keys).sortWithinPartitions(*keys)
     found = staged(sorted_.mapInArrow(run, "a long, b long, part int, head string, tail string"), "near-order")
     line = Window.orderBy("part")
     ends = found.filter(F.col("part").isNotNull()).select(
@@ -286,12 +286,12 @@ def _neighbours(members: DataFrame) -> DataFrame:
 
 
 def prefixes(texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
-    """(key, n, root, total, rest): the shingles of texts (n, root, text), rarest first, as long as the weight
-    `rest` from there on is at least the threshold's share of the text's weight `total`."""
+    """(key, n, root, members, total, rest): the shingles of texts (n, root, members, text), rarest first, as long
+    as the weight `rest` from there on is at least the threshold's share of the text's weight `total`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in text_slices(batch.column(2), SLICE):
+            for first, part in text_slices(batch.column(3), SLICE):
                 value, tf, offsets = shingles(part)
                 own = idf.of(value)
                 text = np.repeat(np.arange(len(part)), np.diff(offsets))
@@ -304,51 +304,147 @@ def prefixes(texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
                 place = pa.array(text[kept] + first)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(value[order][kept].view(np.int64)), batch.column(0).take(place), batch.column(1).take(place),
+                        pa.array(value[order][kept].view(np.int64)), *(batch.column(c).take(place) for c in range(3)),
                         pa.array(total[kept].astype(np.float32)), pa.array(rest[kept].astype(np.float32)),
                     ],
-                    names=["key", "n", "root", "total", "rest"],
+                    names=["key", "n", "root", "members", "total", "rest"],
                 )
 
-    return texts.select("n", "root", "text").mapInArrow(run, "key long, n long, root long, total float, rest float")
+    rows = texts.select("n", "root", "members", "text")
+    return rows.mapInArrow(run, "key long, n long, root long, members long, total float, rest float")
 
 
-def _remaining(members: DataFrame, roots: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
-    """Pairs (a, b) of texts of unsettled buckets: all that can reach the threshold and are in two classes."""
-    rooted = members.filter("size > 2").select("band", "hash", "n").join(roots.withColumnRenamed("node", "n"), "n", "left")
-    rooted = staged(rooted.withColumn("root", F.coalesce("root", "n")), "near-rooted")
-    mixed = rooted.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    unsettled = rooted.join(mixed.select("band", "hash"), ["band", "hash"], "left_semi").select("n", "root").distinct()
-    rows = staged(prefixes(texts.join(unsettled, "n"), idf, threshold), "near-prefixes")
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The root of each row's text; a text without links is its own class."""
+    held = rows.drop("root").join(roots.withColumnRenamed("node", "n"), "n", "left")
+    return held.withColumn("root", F.coalesce("root", "n"))
 
+
+def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members with their class, of buckets that hold several classes."""
+    rooted = staged(_rooted(members, roots), "near-rooted")
+    mixed = rooted.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return rooted.join(mixed.select("band", "hash"), ["band", "hash"], "left_semi")
+
+
+class _Links:
+    """Verified links, tried pairs and the classes they make."""
+
+    def __init__(self, texts: DataFrame, idf: Idf, threshold: float):
+        self.texts, self.idf, self.threshold = texts, idf, threshold
+        self.links = self.tried = self.roots = None
+        self.verified = 0
+
+    def verify(self, pairs: DataFrame) -> bool:
+        """Compare pairs that were not tried before; whether any of them is a link."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if self.tried is not None:
+            pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
+        pairs = staged(pairs, "near-pairs")
+        self.verified += pairs.count()
+        new = staged(similar(pairs, self.texts, self.idf, self.threshold), "near-links")
+        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
+        found = self.links is None or new.limit(1).count() > 0
+        if found:
+            # Classes that were found before are chains of their own; only what joins them is new.
+            chains = [] if self.roots is None else [self.roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))]
+            self.links = reduce(DataFrame.unionByName, chains, new)
+            self.roots = components(self.links, "near")
+        return found
+
+
+def _settle(members: DataFrame, signs: DataFrame, found: _Links) -> DataFrame:
+    """Link the classes of each bucket to their neighbours, in TURNS orders; the unsettled members."""
+    for turn in range(TURNS):
+        left = staged(_unsettled(members, found.roots), "near-unsettled")
+        # Another text stands for a class in every round, in another order of the bands.
+        own = F.xxhash64("n", F.lit(turn))
+        ones = left.groupBy("band", "hash", "root").agg(F.min_by("n", own).alias("n")).join(signs, "n")
+        later = [F.shiftright(F.element_at("bands", F.pmod(F.col("band") + 2 * turn + k, F.lit(BANDS)) + 1), 32) for k in (1, 2)]
+        ones = ones.select("band", "hash", "n", F.shiftleft(later[0], 32).bitwiseXOR(later[1]).alias("order"))
+        if not found.verify(_neighbours(ones)):
+            return left
+    return _unsettled(members, found.roots)
+
+
+def _dealt(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Join rows of texts with rows of classes or texts per `key`; of a hot key (lefts, rights) both sides are
+    dealt out in parts of DEALT, and each part meets each part of the other side."""
+    rows, columns = (F.greatest(F.ceil(F.col(c) / DEALT), F.lit(1)).cast("int") for c in ("lefts", "rights"))
+
+    def copies(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), count - 1))
+
+    def part(count: Column, name: str) -> Column:
+        return F.pmod(F.xxhash64(name), count).cast("int")
+
+    left = left.withColumn("row", part(rows, "n_a")).withColumn("column", copies(columns)).drop("lefts", "rights")
+    right = right.withColumn("column", part(columns, "n")).withColumn("row", copies(rows)).drop("lefts", "rights")
+    return left.join(right, ["key", "row", "column"])
+
+
+def _looked_up(rows: DataFrame, lookup: DataFrame, where: Column | None = None) -> DataFrame:
+    """Join rows with a lookup of one row per key, the rows of a key in COPIES parts."""
+    copies = lookup.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1)))).withColumnRenamed("key", "_key")
+    rows = rows.withColumn("_copy", F.pmod(F.xxhash64("n"), F.lit(COPIES)).cast("int"))
+    same = (F.col("key") == F.col("_key")) & (F.col("_copy") == F.col("copy"))
+    return rows.join(copies, same if where is None else same & where).drop("_key", "copy", "_copy")
+
+
+def _complete(left: DataFrame, found: _Links) -> None:
+    """Find all links between different classes of the texts of unsettled buckets."""
+    threshold = found.threshold
+    unsettled = left.filter("size > 2").select("n", "root").distinct()
+    sizes = unsettled.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    classed = skew_join(unsettled, sizes, ["root"])
     # The lighter text of a pair needs this share of its weight.
     short = F.col("rest") >= F.lit(SLACK * 2 * threshold / (1 + threshold)) * F.col("total")
-    sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"), F.max(short).alias("short"))
-    keys = sizes.groupBy("key").agg(
-        F.sum("size").alias("size"), F.count(F.lit(1)).alias("classes"), F.max("short").alias("short"), F.max_by("root", "size").alias("main")
-    )
-    keys = staged(keys.filter("classes > 1 and short").select("key", "size", "main"), "near-keys")
-    parts = F.ceil(F.col("size") / DEALT).cast("int")
-    held = skew_join(rows, keys, ["key"]).withColumn("parts", parts).withColumn("apart", F.col("root") != F.col("main"))
-    held = staged(held.select("key", "n", "root", "total", "rest", "parts", "apart"), "near-held")
-
-    # A pair in two classes has a text outside the largest class of the shingle.
-    left = held.filter(short).select(
-        "key", "parts", "apart", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"),
-        *[F.col(c).alias(f"{c}_a") for c in ("n", "root", "total", "rest")],
+    needed = F.lit(SLACK * threshold / (1 + threshold)) * (F.col("total_a") + F.col("total"))
+    rows = prefixes(found.texts.join(classed, "n"), found.idf, threshold).withColumn("short", short)
+    rows = staged(rows, "near-prefixes")
+
+    classes = rows.groupBy("key", "root", "members").agg(
+        F.max_by("n", F.struct("rest", "n")).alias("n"), F.max("rest").alias("rest"), F.min("total").alias("total"),
+        F.max("short").alias("short"), F.count(F.lit(1)).alias("size"),
     )
-    left = left.select("*", F.explode(F.when(F.col("apart"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))).alias("to"))
-    right = held.select(
-        "key", F.pmod(F.xxhash64("n"), F.col("parts")).cast("int").alias("salt"), F.col("apart").alias("to"), "n", "root", "total", "rest"
+    classes = staged(classes, "near-classes")
+    keys = classes.groupBy("key").agg(
+        F.sum("size").alias("lefts"), F.count(F.lit(1)).alias("rights"), F.max("short").alias("any"),
+        F.max(F.struct("members", "root")).alias("top"),
     )
-    met = left.drop("parts", "apart").join(right, ["key", "salt", "to"])
-    needed = F.lit(SLACK * threshold / (1 + threshold)) * (F.col("total_a") + F.col("total"))
+    keys = staged(keys.filter("rights > 1 and any").select("key", "lefts", "rights", "top"), "near-keys")
+    # A text of a smaller class meets the classes above its own.
+    low = _looked_up(rows, keys, F.struct("members", "root") < F.col("top"))
+    low = low.select("key", "lefts", "rights", *[F.col(c).alias(f"{c}_a") for c in ("n", "root", "total", "rest", "short", "members")])
+    met = _dealt(staged(low, "near-low"), _looked_up(classes, keys.drop("top")))
     met = met.filter(
-        (F.col("root_a") != F.col("root"))
-        & (F.struct("total_a", "n_a") < F.struct(F.col("total").alias("total_a"), F.col("n").alias("n_a")))
+        (F.struct("members_a", "root_a") < F.struct(F.col("members").alias("members_a"), F.col("root").alias("root_a")))
+        & (F.col("short_a") | F.col("short"))
         & (F.least("rest_a", "rest") >= needed)
     )
-    return met.select(F.least("n_a", "n").alias("a"), F.greatest("n_a", "n").alias("b")).distinct()
+    tries = met.groupBy("n_a", "root_a", "root").agg(
+        F.max_by("n", F.struct(F.least("rest_a", "rest"), "n")).alias("n"), F.max("members").alias("members")
+    )
+    tries = staged(tries, "near-tries")
+    found.verify(tries.select(F.col("n_a").alias("a"), F.col("n").alias("b")))
+
+    # What is in two classes still, beside a class's chosen text: the text and every text of the class, where
+    # their own bound allows it.
+    now = _rooted(unsettled.select(F.col("root").alias("n")).distinct(), found.roots)
+    open_ = tries.filter("members > 1").select("n_a", "root_a", "root")
+    for name in ("root_a", "root"):
+        open_ = skew_join(open_, now.select(F.col("n").alias(name), F.col("root").alias(f"now_{name}")), [name])
+    open_ = staged(open_.filter("now_root_a <> now_root").select("n_a", "root"), "near-open")
+    place = F.struct("key", "root").alias("key")
+    texts = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("n", "total", "rest", "short")])
+    texts = staged(texts.join(open_, "n_a").select(place, "n_a", "total_a", "rest_a", "short_a"), "near-low")
+    counted = texts.groupBy("key").agg(F.count(F.lit(1)).alias("lefts"))
+    theirs = classes.select(place, F.col("size").alias("rights"))
+    counted = staged(counted.join(theirs, "key"), "near-keys")
+    others = _looked_up(rows.select(place, "n", "total", "rest", "short"), counted)
+    met = _dealt(_looked_up(texts.withColumn("n", F.col("n_a")), counted).drop("n"), others)
+    met = met.filter((F.least("rest_a", "rest") >= needed) & F.when(F.col("total_a") <= F.col("total"), F.col("short_a")).otherwise(F.col("short")))
+    found.verify(met.select(F.col("n_a").alias("a"), F.col("n").alias("b")))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -360,32 +456,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = signed.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"))
     nodes = staged(nodes.withColumn("n", F.monotonically_increasing_id()), "near-nodes")
 
-    def band(after: int) -> Column:
-        """The upper half of a later band's hash."""
-        return F.shiftright(F.element_at("bands", F.pmod(F.col("band") + after, F.lit(BANDS)) + 1), 32)
-
-    members = nodes.filter(F.col("bands").isNotNull()).select("n", "id", "bands", F.posexplode("bands").alias("band", "hash"))
-    orders = [(F.shiftleft(band(2 * t + 1), 32).bitwiseXOR(band(2 * t + 2))).alias(f"o{t}") for t in range(TURNS)]
-    members = members.select("n", "id", "band", "hash", *orders)
+    members = nodes.filter(F.col("bands").isNotNull()).select("n", "id", F.posexplode("bands").alias("band", "hash"))
     size = members.groupBy("band", "hash").agg(
         F.count(F.lit(1)).alias("size"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("least")
     )
     shared = size.filter("size > 1").select("band", "hash", "size", F.col("least.n").alias("leader"))
-    members = staged(members.drop("id").join(shared, ["band", "hash"]), "near-members")
+    members = staged(skew_join(members.drop("id"), shared, ["band", "hash"]), "near-members")
 
-    involved = members.select("n").distinct().join(nodes.select("n", "node"), "n")
+    involved = staged(members.select("n").distinct().join(nodes.select("n", "node", "bands"), "n"), "near-involved")
     texts = docs.select(text_node(text).alias("node"), whole_text(text).alias("text"))
-    texts = staged(texts.join(involved, "node").select("n", "text").dropDuplicates(["n"]), "near-texts")
-
-    star = members.filter("n <> leader").select(F.col("leader").alias("a"), F.col("n").alias("b"))
-    pairs = star.unionByName(_neighbours(members)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = staged(pairs.distinct(), "near-pairs")
-    links = staged(similar(pairs, texts, idf, threshold), "near-links")
-    roots = components(links, "near")
-    more = _remaining(members, roots, texts, idf, threshold).join(pairs, ["a", "b"], "left_anti")
-    new = staged(similar(staged(more, "near-pairs"), texts, idf, threshold), "near-links")
-    if new.limit(1).count():
-        roots = components(links.unionByName(new), "near")
+    texts = staged(texts.join(involved.select("n", "node"), "node").select("n", "text").dropDuplicates(["n"]), "near-texts")
+
+    found = _Links(texts, idf, threshold)
+    star = members.filter("n <> leader").groupBy("n").agg(F.max_by("leader", F.struct("size", "leader")).alias("leader"))
+    found.verify(star.select(F.col("leader").alias("a"), F.col("n").alias("b")))
+    _complete(_settle(members, involved.select("n", "bands"), found), found)
+    roots = found.roots
 
     rooted = nodes.select("n", "node", "id", "rows").join(roots.withColumnRenamed("node", "n"), "n", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "n"))

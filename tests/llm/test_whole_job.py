@@ -62,3 +62,53 @@ def test_rare_languages_stay(spark):
     assert all(r.language == r.lang and r.accepted for r in found)
     kept = language_id(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in rows)
+
+
+def test_group_of_near_copies_in_proportion(spark, monkeypatch):
+    """Copies of one text with one or two words of their own: classes as by brute force, and a number of
+    compared pairs that grows about as the group does."""
+    import pulsemill.llm.neardup as neardup
+
+    ready(spark)
+    compared = []
+
+    class Counted(neardup._Links):
+        def verify(self, pairs):
+            before = self.verified
+            found = super().verify(pairs)
+            compared[-1] += self.verified - before
+            return found
+
+    monkeypatch.setattr(neardup, "_Links", Counted)
+    spell = random.Random(5)
+    for size in (1000, 2000):
+        texts = []
+        for i in range(size):
+            words = [f"w{k}" for k in range(80)]
+            for at in spell.sample(range(80), 1 + i % 2):
+                words[at] = f"own{i}x{at}"
+            texts.append(" ".join(words))
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+        value, tf, offsets = shingles(pa.array(texts))
+        weight = tf * fit_idf(docs).of(value)
+        rows = np.repeat(np.arange(size), np.diff(offsets))
+        columns, place = np.unique(value, return_inverse=True)
+        often = np.bincount(place)[place] > 1
+        columns, place = np.unique(place[often], return_inverse=True)
+        held = np.zeros((size, len(columns)), np.float32)
+        held[rows[often], place] = np.sqrt(weight[often])
+        shared = held @ held.T
+        total = np.add.reduceat(weight, offsets[:-1])
+        alike = shared >= 0.8 * (total[:, None] + total[None, :] - shared)
+        first = np.full(size, -1)
+        for i in range(size):
+            todo = [i] if first[i] < 0 else []
+            first[todo] = i
+            while todo:
+                new = np.flatnonzero(alike[todo.pop()] & (first < 0))
+                first[new] = i
+                todo += new.tolist()
+        compared.append(0)
+        classes = {r.id: r.class_id for r in near_duplicates(docs).collect()}
+        assert [classes[i] for i in range(size)] == first.tolist()
+    assert compared[1] < 3 * compared[0]
