@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.catalog.base import Tables, ntz, query
-from pulsemill.operators import audit, frames, merge, parents, sleep
+from pulsemill.operators import audit, constraints, frames, merge, parents, sleep
+from pulsemill.schema import APPEND, Table
 
 KEY = ["o_orderkey"]
 BY_TIME = ["o_orderdate", "o_orderkey"]
@@ -195,11 +196,25 @@ def returning_rows(t: Tables) -> DataFrame:
 
 
 @query("""
-select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders where o_orderstatus <> 'O'
-union all select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 100, 'new' from orders where o_orderstatus <> 'F'
+with stored as (select * from orders where o_orderstatus <> 'O'),
+submitted as (
+  select * replace ('new' as o_orderpriority) from orders where o_orderstatus <> 'F'
+  union all select * replace ('new' as o_orderpriority) from orders where o_orderstatus = 'O' and o_orderkey % 97 = 0
+), broken as (
+  select o_custkey, 'key is stored' as rule from submitted where o_orderkey in (select o_orderkey from stored)
+  union all select o_custkey, 'key is repeated' from submitted group by o_custkey, o_orderkey having count(*) > 1
+), failed as (select o_custkey, max(rule) as rule from broken group by all)
+select o_orderkey, o_custkey, o_orderpriority, null::varchar as rule from stored
+union all select o_orderkey, o_custkey, o_orderpriority, null from submitted where o_custkey not in (select o_custkey from failed)
+union all select null, o_custkey, null, rule from failed
 """)
 def insert_plain(t: Tables) -> DataFrame:
-    return merge.insert_plain(_stored(t).select(*COLUMNS), _submitted(t))
+    """The orders of one customer are one statement."""
+    columns = ["o_orderkey", "o_custkey", "o_orderpriority"]
+    submitted = _submitted(t)
+    submitted = submitted.unionByName(submitted.filter("o_orderstatus = 'O' and o_orderkey % 97 = 0"))
+    table, failed = merge.insert_plain(_stored(t).select(*columns), submitted, ["o_orderkey"], ["o_custkey"])
+    return table.unionByName(failed, allowMissingColumns=True)
 
 
 @query(f"""
@@ -364,3 +379,36 @@ def cascade_delete(t: Tables) -> DataFrame:
     child = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     deleted = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
     return audit.cascade_delete(child, deleted, ["l_orderkey"])
+
+
+LINES = Table(
+    "line",
+    "l_orderkey bigint, l_linenumber bigint, l_shipmode string",
+    ("l_orderkey", "l_linenumber"),
+    APPEND,
+    required=("l_shipmode",),
+    parent=("order", "l_orderkey"),
+)
+
+
+@query("""
+with rows as (
+  select 'lines-' || (l_orderkey // 8) as file_name, l_orderkey, l_linenumber,
+    case when l_orderkey % 50 = 0 and l_linenumber = 1 then null else l_shipmode end as l_shipmode from lineitem
+  union all select 'lines-' || (l_orderkey // 8), l_orderkey, l_linenumber, l_shipmode from lineitem where l_orderkey % 70 = 1
+)
+select distinct file_name, 'line.l_shipmode is missing' as rule from rows where l_shipmode is null
+union all select distinct file_name, 'line key is repeated' from (
+  select file_name from rows group by file_name, l_orderkey, l_linenumber having count(*) > 1)
+union all select distinct file_name, 'line has no order' from rows
+  where l_orderkey not in (select o_orderkey from orders where o_orderstatus <> 'P')
+""")
+def constraint_findings(t: Tables) -> DataFrame:
+    """Files of eight orders with missing values, repeated keys and orders that do not exist."""
+    file = F.concat(F.lit("lines-"), F.floor(F.col("l_orderkey") / 8).cast("string")).alias("file_name")
+    lines = t.lineitem.select(file, "l_orderkey", "l_linenumber", "l_shipmode")
+    gap = (F.col("l_orderkey") % 50 == 0) & (F.col("l_linenumber") == 1)
+    rows = lines.withColumn("l_shipmode", F.when(~gap, F.col("l_shipmode")))
+    rows = rows.unionByName(lines.filter("l_orderkey % 70 = 1"))
+    parents = t.orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return constraints.findings(rows, LINES, parents, plain=True, origin=["file_name"])

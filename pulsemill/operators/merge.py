@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.plans.skew import skew_join
+from pulsemill.session import scratch_path
 
 
 def _others(columns: Sequence[str], *taken: Sequence[str]) -> list[str]:
@@ -45,9 +46,47 @@ def duplicate_source_keys(source: DataFrame, keys: Sequence[str], unit: Sequence
     return counted.filter(F.col("n_rows") > 1)
 
 
-def insert_plain(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Append as is; `unique_violations` tells whether a key is now stored twice."""
-    return target.unionByName(source.select(*target.columns))
+def insert_plain(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], unit: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Append statements that each take effect whole or not at all: (table, failed units with their rule).
+
+    A unit (e.g. the set of a file) is one statement; units run in the order of their columns. A unit fails
+    when it repeats a key, or submits one that is stored already, by the target or by an earlier unit that
+    did not fail. A key with a NULL equals no other. Failures among units are found in rounds over the
+    keys that several units submit: a unit depends on earlier ones only, so the rounds come to an end.
+    """
+    complete = source
+    for key in keys:
+        complete = complete.filter(F.col(key).isNotNull())
+    pairs = complete.select(*unit, *keys).distinct()
+    repeated = duplicate_source_keys(complete, keys, unit).select(*unit, F.lit("key is repeated").alias("rule"))
+    taken = skew_join(pairs, target.select(*keys).distinct(), keys, "left_semi")
+    found = repeated.unionByName(taken.select(*unit, F.lit("key is stored").alias("rule")))
+    failed = _written(found.groupBy(*unit).agg(F.max("rule").alias("rule")), "plain-failed")
+
+    several = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys)
+    clash = _written(skew_join(pairs, several, keys, "left_semi"), "plain-clash")
+    base = failed
+    while True:
+        alive = clash.join(failed.select(*unit), list(unit), "left_anti")
+        first = alive.groupBy(*keys).agg(F.min(F.struct(*unit)).alias("_first"))
+        late = skew_join(clash, first, keys).filter(F.struct(*unit) > F.col("_first"))
+        both = base.unionByName(late.select(*unit, F.lit("key is stored").alias("rule")))
+        now = _written(both.groupBy(*unit).agg(F.max("rule").alias("rule")), "plain-failed")
+        old, new = failed.select(*unit), now.select(*unit)
+        changed = old.exceptAll(new).unionByName(new.exceptAll(old)).limit(1).count()
+        failed = now
+        if not changed:
+            break
+    kept = skew_join(source, failed.select(*unit), list(unit), "left_anti")
+    return target.unionByName(kept.select(*target.columns)), failed
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def rows_to_insert(

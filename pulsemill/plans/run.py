@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.functions.names import parse_activity_filename
-from pulsemill.operators import activity, frames, merge, profile, sleep, training, wellness
+from pulsemill.operators import activity, constraints, frames, merge, profile, sleep, training, wellness
 from pulsemill.operators.documents import ORDER, ORIGIN, Decoded
 from pulsemill.plans.skew import skew_join
 from pulsemill.registry import RECORDS_WITHOUT_ACTIVITY
@@ -36,7 +36,7 @@ from pulsemill.schema import (
     LATEST_PER,
     TABLES,
 )
-from pulsemill.session import scratch_path
+from pulsemill.session import remove_folder, scratch_path
 from pulsemill.sources import ledger
 from pulsemill.sources.mailbox import with_origin
 from pulsemill.sources.store import WHOLE, Store, added, replaced
@@ -84,18 +84,23 @@ class RunConfig:
 
 
 def run_batch(
-    spark: SparkSession, raw: DataFrame, store: Store, config: RunConfig, decoded_frames: DataFrame | None = None
+    spark: SparkSession,
+    raw: DataFrame,
+    store: Store,
+    config: RunConfig,
+    decoded_frames: DataFrame | None = None,
+    progress: tuple[str, list[str]] | None = None,
 ) -> DataFrame:
     """Process the raw documents, publish all tables at once, and return one row per file:
     file_name, state, success, error_type. `decoded_frames` holds the frames of the activity files,
-    by file name."""
+    by file name. `progress`, a stream's name and marks, becomes visible together with the tables."""
     work = Workspace(spark, scratch_path(spark, "run"))
     run, version, manifest = uuid.uuid4().hex, store.version(), store.manifest()
     files = _stage_files(work, raw, config)
     taken = files.filter(F.col("state") == "process")
     decoded, findings = _decode(taken, config)
     parts = together(spark, {name: partial(work.save, rows, f"rows-{name}") for name, rows in decoded.items()})
-    findings = work.save(findings, "findings")
+    findings = work.save(_with_constraints(findings, parts), "findings")
     fit = _activity_files(work, taken, decoded_frames)
     known = store.read("activity", manifest=manifest).select("activity_id")
     failed, n_failed, visible = _failed_sets(work, known, parts, findings, fit)
@@ -121,10 +126,22 @@ def run_batch(
     if config.store:
         outcome = config.store(outcome)
     _write_results(target, config, outcome)
+    if progress:
+        store.mark(manifest, *progress)
     store.publish(manifest, version + 1)
+    work.clear(keep="outcome")
     return outcome
 
 
+def _with_constraints(findings: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
+    """Broken rules of the files, and rows without a key or required column of their table."""
+    for name, rows in parts.items():
+        broken = constraints.null_findings(rows, TABLES[name.split(".")[0]])
+        if broken is not None:
+            findings = findings.unionByName(broken)
+    return findings
+
+
 def together(spark: SparkSession, tasks: dict[str, Callable]) -> dict:
     """Run independent Spark jobs side by side: one small table must not keep the cluster waiting."""
     with ThreadPoolExecutor(max_workers=JOBS_AT_ONCE) as pool:
@@ -139,12 +156,20 @@ class Workspace:
 
     spark: SparkSession
     folder: str
+    names: list[str] = field(default_factory=list)
 
     def save(self, frame: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
+        self.names.append(name)
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def clear(self, keep: str) -> None:
+        """Delete all but one of the frames."""
+        for name in self.names:
+            if name != keep:
+                remove_folder(self.spark, f"{self.folder}/{name}")
+
 
 @dataclass
 class Target:
@@ -171,6 +196,7 @@ def _stage_files(work: Workspace, raw: DataFrame, config: RunConfig) -> DataFram
     )
     staged = with_origin(config.prepare(routed) if config.prepare else routed)
     path = f"{work.folder}/files"
+    work.names.append("files")
     staged.withColumn("folder", F.coalesce("file_type", F.lit("UNMATCHED"))).write.partitionBy("folder").parquet(path)
     return work.spark.read.parquet(path)
 

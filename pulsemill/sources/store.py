@@ -27,6 +27,8 @@ from pulsemill.sources.chunks import (
 )
 
 WHOLE = "all"
+# Entry of the manifest for how far each stream has come.
+STREAMS = "_streams"
 
 
 def chunk_column(table: Table) -> Column:
@@ -78,6 +80,13 @@ class Store:
         if fs.exists(target) or not fs.rename(draft, target):
             raise RuntimeError(f"version {version} was published by another run")
 
+    def progress(self, stream: str) -> list[str]:
+        """The marks a stream has published together with its last tables; none before its first."""
+        return self.manifest().get(STREAMS, {}).get(stream, [])
+
+    def mark(self, manifest: dict[str, dict[str, list[str]]], stream: str, marks: list[str]) -> None:
+        manifest.setdefault(STREAMS, {})[stream] = marks
+
     # Reading.
 
     def read(self, name: str, chunks: Sequence[str] | None = None, manifest: dict | None = None) -> DataFrame:
