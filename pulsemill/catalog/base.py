@@ -159,7 +159,7 @@ def packed_events(t: Tables) -> DataFrame:
     """Heart-rate documents of at most BLOCK events; the block stands for the user of the file."""
     block = F.floor(F.col("event_id") / BLOCK).cast("bigint")
     pair = F.array(millis("ts"), F.floor("value").cast("bigint"))
-    packed = t.events.groupBy(block.alias("block")).agg(F.collect_list(pair).alias("heartRateValues"))
+    packed = t.events.groupBy(block.alias("block")).agg(F.array_sort(F.collect_list(pair)).alias("heartRateValues"))
     return packed.select(
         standard_file_name(F.col("block"), "HEART_RATE", F.lit("2024-01-01").cast("date")).alias("file_name"),
         F.to_json(F.struct("heartRateValues")).alias("content"),

@@ -383,10 +383,10 @@ def cascade_delete(t: Tables) -> DataFrame:
 
 LINES = Table(
     "line",
-    "l_orderkey bigint, l_linenumber bigint, l_shipmode string",
+    "l_orderkey bigint, l_linenumber bigint, l_linestatus string",
     ("l_orderkey", "l_linenumber"),
     APPEND,
-    required=("l_shipmode",),
+    required=("l_linestatus",),
     parent=("order", "l_orderkey"),
 )
 
@@ -394,10 +394,10 @@ LINES = Table(
 @query("""
 with rows as (
   select 'lines-' || (l_orderkey // 8) as file_name, l_orderkey, l_linenumber,
-    case when l_orderkey % 50 = 0 and l_linenumber = 1 then null else l_shipmode end as l_shipmode from lineitem
-  union all select 'lines-' || (l_orderkey // 8), l_orderkey, l_linenumber, l_shipmode from lineitem where l_orderkey % 70 = 1
+    case when l_orderkey % 50 = 0 and l_linenumber = 1 then null else l_linestatus end as l_linestatus from lineitem
+  union all select 'lines-' || (l_orderkey // 8), l_orderkey, l_linenumber, l_linestatus from lineitem where l_orderkey % 70 = 1
 )
-select distinct file_name, 'line.l_shipmode is missing' as rule from rows where l_shipmode is null
+select distinct file_name, 'line.l_linestatus is missing' as rule from rows where l_linestatus is null
 union all select distinct file_name, 'line key is repeated' from (
   select file_name from rows group by file_name, l_orderkey, l_linenumber having count(*) > 1)
 union all select distinct file_name, 'line has no order' from rows
@@ -406,9 +406,9 @@ union all select distinct file_name, 'line has no order' from rows
 def constraint_findings(t: Tables) -> DataFrame:
     """Files of eight orders with missing values, repeated keys and orders that do not exist."""
     file = F.concat(F.lit("lines-"), F.floor(F.col("l_orderkey") / 8).cast("string")).alias("file_name")
-    lines = t.lineitem.select(file, "l_orderkey", "l_linenumber", "l_shipmode")
+    lines = t.lineitem.select(file, "l_orderkey", "l_linenumber", "l_linestatus")
     gap = (F.col("l_orderkey") % 50 == 0) & (F.col("l_linenumber") == 1)
-    rows = lines.withColumn("l_shipmode", F.when(~gap, F.col("l_shipmode")))
+    rows = lines.withColumn("l_linestatus", F.when(~gap, F.col("l_linestatus")))
     rows = rows.unionByName(lines.filter("l_orderkey % 70 = 1"))
     parents = t.orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
     return constraints.findings(rows, LINES, parents, plain=True, origin=["file_name"])

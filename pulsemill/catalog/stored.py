@@ -1,4 +1,4 @@
-"""Queries: time chunks on disk, roll-ups, the mailbox stream and the extension points."""
+"""Queries: time chunks on disk, roll-ups and daily averages."""
 
 from __future__ import annotations
 
@@ -6,21 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.catalog.base import (
-    PACKED_EVENTS_SQL,
     Tables,
-    as_docs,
-    millis,
     ntz,
     packed_events,
     query,
 )
 from pulsemill.catalog.files import CHUNK_SQL, chunked_events
 from pulsemill.operators import merge, wellness
-from pulsemill.operators.documents import ORDER, Decoded, parse
-from pulsemill.plans.run import DECODERS, Decoder
+from pulsemill.operators.documents import ORDER
 from pulsemill.session import scratch_path
 from pulsemill.sources import chunks, mailbox
-from pulsemill.streaming.mailbox import drain
 
 NOW = "2024-02-20"
 
@@ -82,83 +77,6 @@ def drop_expired_chunks(t: Tables) -> DataFrame:
     return kept.select("event_id")
 
 
-# The mailbox as a stream.
-
-
-def _batch_rows(batch: DataFrame) -> DataFrame:
-    docs = mailbox.with_origin(batch)
-    return wellness.explode_heart_rate(docs)
-
-
-@query(PACKED_EVENTS_SQL)
-def stream_mailbox(t: Tables) -> DataFrame:
-    folder, out = scratch_path(t.spark, "mailbox"), scratch_path(t.spark, "rows")
-    mailbox.land_documents(packed_events(t), folder)
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        # A replayed batch replaces its own folder.
-        _batch_rows(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    drain(mailbox.stream_raw_documents(t.spark, folder), scratch_path(t.spark, "taken"), each)
-    rows = t.spark.read.parquet(out)
-    return rows.select("user_id", millis("timestamp").alias("ts_ms"), "value")
-
-
-@query(f"with rows as ({PACKED_EVENTS_SQL}) select user_id, ts_ms, min(value) as value from rows group by all")
-def idempotent_replay(t: Tables) -> DataFrame:
-    folder, out = scratch_path(t.spark, "mailbox"), scratch_path(t.spark, "table")
-    mailbox.land_documents(packed_events(t), folder)
-    schema = "user_id bigint, timestamp timestamp, value int"
-    t.spark.createDataFrame([], schema).write.parquet(out)
-
-    def each(batch: DataFrame, _batch_id: int) -> None:
-        stored = batch.sparkSession.read.schema(schema).parquet(out)
-        # Of equal times the smallest reading counts, so that the SQL twin can name it.
-        fresh = merge.rows_to_insert(stored, _batch_rows(batch), ["user_id", "timestamp"], ["value", *ORDER])
-        fresh.write.mode("append").parquet(out)
-
-    for replay in ("taken-1", "taken-2"):
-        drain(mailbox.stream_raw_documents(t.spark, folder), scratch_path(t.spark, replay), each)
-    rows = t.spark.read.schema(schema).parquet(out)
-    return rows.select("user_id", millis("timestamp").alias("ts_ms"), "value")
-
-
-# Extension points.
-
-
-def _decode_levels(docs: DataFrame) -> Decoded:
-    """A decoder a user might add: one reading per document, its level."""
-    doc = parse(docs, "level string")
-    rows = doc.select("user_id", F.col("doc.level").alias("level"))
-    bad = doc.filter("doc.level is null").select("user_id", F.lit("level missing").alias("rule"))
-    return Decoded({"level": rows.filter("level is not null")}, [bad])
-
-
-@query("""
-select event_id, event_type as outcome from events where event_type <> 'error'
-union all select event_id, 'level missing' from events where event_type = 'error'
-""")
-def custom_processor(t: Tables) -> DataFrame:
-    decoders: dict[str, Decoder] = {**DECODERS, "LEVEL": _decode_levels}
-    level = F.when(F.col("event_type") != "error", F.col("event_type")).alias("level")
-    docs = as_docs(t.events, F.to_json(F.struct(level)), "event_id")
-    decoded = decoders["LEVEL"](docs)
-    rows = decoded.rows["level"].select(F.col("user_id").alias("event_id"), F.col("level").alias("outcome"))
-    failed = decoded.failures[0].select(F.col("user_id").alias("event_id"), F.col("rule").alias("outcome"))
-    return rows.unionByName(failed)
-
-
-def _large_first(files: DataFrame, limit: int) -> DataFrame:
-    """A replacement for the ingest stage: large files are stored unread."""
-    large = F.col("n_chars") > limit
-    return files.withColumn("state", F.when(large, F.lit("store")).otherwise(F.lit("process")))
-
-
-@query("select doc_id, case when n_chars > 800 then 'store' else 'process' end as state from documents")
-def custom_stage_callables(t: Tables) -> DataFrame:
-    return t.documents.transform(_large_first, limit=800).select("doc_id", "state")
-
-
 @query("""
 with readings as (select event_id // 4096 as user_id, epoch_us(ts) // 1000 as ms, min(cast(floor(value) as integer)) as value
   from events group by all)

@@ -12,6 +12,7 @@ import json
 import uuid
 from collections.abc import Sequence
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +112,22 @@ class Store:
         frame = self.read(name, chunks, listed)
         return frame.filter((column >= F.lit(low)) & (column < F.lit(high)))
 
+    def state_digest(self) -> DataFrame:
+        """(table_name, chunk, n_rows, digest) of everything stored, without the time stamps of writing. The
+        digest is a sum of row hashes: equal for equal rows in any order, and combined before the shuffle."""
+        manifest = self.manifest()
+        parts = []
+        for name, table in TABLES.items():
+            columns = [c for c in table.names if c not in ("create_ts", "update_ts")]
+            rows = self.read(name, manifest=manifest).groupBy("chunk").agg(
+                F.count(F.lit(1)).alias("n_rows"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("digest")
+            )
+            if manifest.get(name):
+                parts.append(rows.select(F.lit(name).alias("table_name"), "chunk", "n_rows", "digest"))
+        if not parts:
+            return self.spark.createDataFrame([], "table_name string, chunk string, n_rows bigint, digest decimal(38,0)")
+        return reduce(DataFrame.unionByName, parts)
+
     def register_views(self) -> None:
         """Every table as a temporary view, for Spark SQL."""
         manifest = self.manifest()
