@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from pulsemill.llm.ragged import text_slices
 from pulsemill.llm.shared import BROADCAST_ROWS, fresh, lookup_join, staged
+from pulsemill.plans.once import with_columns_once
 
 # Bound of the sample that the trigram model is fitted on.
 TRAIN_DOCS = 20_000
@@ -41,10 +42,8 @@ SLICE = 2 << 20
 UNKNOWN = "und"
 # Share of overlapping trigrams that counts.
 TEMPER = 1 / 3
-# Labels of so many rows become languages, however small their share of the table; in tables of fewer than a
-# hundred times as many rows a share of LEAST_SHARE is enough.
+# Rows of a label that are read at least, if it has so many.
 LEAST_DOCS = 5
-LEAST_SHARE = 0.01
 # Languages that are scored at once, which bounds memory.
 BLOCK = 16
 # Rows that the parent's prior counts for.
@@ -87,11 +86,9 @@ def trigram_slots(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_trigrams(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id", most: int = TRAIN_DOCS) -> Trigrams:
     """Count trigrams per label over a sample dealt by hash: about `most` rows in equal parts, and at least
-    LEAST_DOCS of a label."""
+    LEAST_DOCS of a label. Every label that occurs is a language, however few rows it has."""
     labelled = docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
-    total = labelled.count()
-    counts = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.filter(F.col("n") >= min(LEAST_DOCS, LEAST_SHARE * total)).collect()
+    rows = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
     languages = tuple(sorted(r[0] for r in rows))
     quota = max(LEAST_DOCS, most // max(1, len(rows)))
     own, size = fresh("label", "size")
@@ -120,8 +117,9 @@ def fit_trigrams(docs: DataFrame, label: str = "lang", text: str = "text", key:
     return Trigrams(languages, np.log(sums / sums.sum(1, keepdims=True)).astype(np.float32)[: len(languages)])
 
 
-def with_likelihoods(docs: DataFrame, model: Trigrams, text: str, out: str) -> DataFrame:
-    """Add an array: the tempered log likelihood under each language and under UNKNOWN; null without letters."""
+def with_likelihoods(docs: DataFrame, model: Trigrams, text: str, out: str, shares: str, foreign: float) -> DataFrame:
+    """Add two arrays: the tempered log likelihood under each language and under UNKNOWN, which has the prior
+    `foreign`, and the shares of each by the text alone; null without letters."""
     at = docs.columns.index(text)
     uniform = -math.log(SLOTS)
 
@@ -136,22 +134,23 @@ def with_likelihoods(docs: DataFrame, model: Trigrams, text: str, out: str) -> D
                     for n in range(0, table.shape[1], BLOCK):
                         each = table[:, n : n + BLOCK][slots]
                         sums[full, n : n + BLOCK] = np.add.reduceat(each, offsets[full], axis=0, dtype=np.float64) * TEMPER
-                rows = [r if n else None for r, n in zip(sums, np.diff(offsets))]
+                sums[:, -1] += foreign
+                share = np.exp(sums - sums.max(1, keepdims=True))
+                share /= share.sum(1, keepdims=True)
+                lists = [
+                    pa.array([r if n else None for r, n in zip(of, np.diff(offsets))], pa.list_(pa.float64()))
+                    for of in (sums, share)
+                ]
                 part = batch.slice(first, len(texts))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, pa.list_(pa.float64()))], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns, *lists], names=names)
 
-    names = [*docs.columns, out]
+    names = [*docs.columns, out, shares]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return docs.mapInArrow(score, ", ".join([*fields, f"`{out}` array<double>"]))
+    return docs.mapInArrow(score, ", ".join([*fields, f"`{out}` array<double>", f"`{shares}` array<double>"]))
 
 
-def _posterior(scores: str | Column) -> Column:
-    """Probabilities from log scores."""
-    scores = F.col(scores) if isinstance(scores, str) else scores
-    top = F.array_max(scores)
-    weights = F.transform(scores, lambda s: F.exp(s - top))
-    total = F.aggregate(weights, F.lit(0.0), lambda t, w: t + w)
-    return F.transform(weights, lambda w: w / total)
+def _sum(values: str) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda t, v: t + v)
 
 
 def _array(values) -> Column:
@@ -182,9 +181,7 @@ def identify(
         F.lower(host).alias("_host"),
         F.when(host.isNotNull(), F.lower(suffix)).alias("_suffix"),
     )
-    scored = with_likelihoods(named, model, "_read", "_scores").drop("_read")
-    base = _array([0.0] * len(model.languages) + [math.log(FOREIGN)])
-    scored = scored.withColumn("_text", _posterior(F.zip_with("_scores", base, lambda s, b: s + b)))
+    scored = with_likelihoods(named, model, "_read", "_scores", "_text", math.log(FOREIGN)).drop("_read")
 
     sums = [F.sum(F.get("_text", F.lit(i))).alias(f"s{i}") for i in range(len(classes))]
     groups = staged(
@@ -217,29 +214,39 @@ def identify(
 
     zeros = _array([0.0] * len(classes))
     own = F.coalesce("_text", zeros)
-
-    def without(column: str) -> Column:
-        return F.transform(
-            F.zip_with(F.coalesce(F.col(column), zeros), F.when(F.col(column).isNotNull(), own).otherwise(zeros), lambda s, o: s - o),
-            lambda s: F.greatest(s, F.lit(0.0)),
-        )
-
-    def smooth(counts: Column, parent: Column) -> Column:
-        n = F.aggregate(counts, F.lit(0.0), lambda t, s: t + s)
-        return F.zip_with(counts, parent, lambda s, p: (s + F.lit(STRENGTH) * p) / (n + F.lit(STRENGTH)))
-
-    of_suffix = smooth(without("_of_suffix"), _array(prior))
-    of_host = smooth(without("_of_host"), of_suffix)
-    parts = [F.transform(of_host, lambda p: F.log(p))]
     for column, table in (("_declared", by_declared), ("_segment", by_segment)):
         # One row per language at most.
         logs = docs.sparkSession.createDataFrame(list(table.items()), f"{column}_tag string, {column}_logs array<double>")
         judged = judged.join(F.broadcast(logs), _known(column, classes) == F.col(f"{column}_tag"), "left")
-        parts.append(F.coalesce(F.col(f"{column}_logs"), zeros))
-    fused = F.zip_with("_scores", base, lambda s, b: s + b)
-    for part in parts:
-        fused = F.zip_with(fused, part, lambda s, p: s + p)
-    judged = judged.withColumn("_final", _posterior(fused))
+
+    def without(column: str) -> Column:
+        own_part = F.when(F.col(column).isNotNull(), own).otherwise(zeros)
+        return F.zip_with(F.coalesce(F.col(column), zeros), own_part, lambda s, o: F.greatest(s - o, F.lit(0.0)))
+
+    def smooth(counts: str, total: str, parent: Column | str) -> Column:
+        return F.zip_with(counts, parent, lambda s, p: (s + F.lit(STRENGTH) * p) / (F.col(total) + F.lit(STRENGTH)))
+
+    def plus(left: Column | str, right: Column | str) -> Column:
+        return F.zip_with(left, right, lambda s, p: s + p)
+
+    # Each step is a column of its own: what a step takes from the one before is computed once a row, not once
+    # for every language.
+    steps = [
+        {"_rest_suffix": without("_of_suffix"), "_rest_host": without("_of_host")},
+        {"_n_suffix": _sum("_rest_suffix"), "_n_host": _sum("_rest_host"), "_prior": _array(prior)},
+        {"_by_suffix": smooth("_rest_suffix", "_n_suffix", "_prior")},
+        {"_by_host": smooth("_rest_host", "_n_host", "_by_suffix")},
+        {"_log_host": F.transform("_by_host", lambda p: F.log(p))},
+        {"_sum_1": plus("_scores", "_log_host")},
+        {"_sum_2": plus("_sum_1", F.coalesce("_declared_logs", zeros))},
+        {"_fused": plus("_sum_2", F.coalesce("_segment_logs", zeros))},
+        {"_top": F.array_max("_fused")},
+        {"_weights": F.transform("_fused", lambda s: F.exp(s - F.col("_top")))},
+        {"_total": _sum("_weights")},
+        {"_final": F.transform("_weights", lambda w: w / F.col("_total"))},
+    ]
+    for step in steps:
+        judged = with_columns_once(judged, step)
     best = F.array_max("_final")
     number = F.array_position("_final", best)
     found = F.when(F.col("_final").isNull(), F.lit(UNKNOWN)).otherwise(F.element_at(F.array(*map(F.lit, classes)), number.cast("int")))

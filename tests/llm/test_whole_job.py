@@ -112,3 +112,23 @@ def test_group_of_near_copies_in_proportion(spark, monkeypatch):
         classes = {r.id: r.class_id for r in near_duplicates(docs).collect()}
         assert [classes[i] for i in range(size)] == first.tolist()
     assert compared[1] < 2.5 * compared[0]
+
+
+def test_many_languages(spark):
+    """120 languages, one of them with two rows only, within a time that grows with their number."""
+    import string
+    import time
+
+    ready(spark)
+    spell = random.Random(4)
+    rows = []
+    for number in range(120):
+        words = ["".join(spell.choices(string.ascii_lowercase, k=spell.randint(3, 7))) for _ in range(30)]
+        label = string.ascii_lowercase[number % 26] + string.ascii_lowercase[number // 26]
+        for _ in range(2 if number == 77 else 10):
+            rows.append((len(rows), " ".join(spell.choices(words, k=60)), label, f"host{number % 7}.example.com", 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(4)
+    begun = time.monotonic()
+    found = identify(docs, fit_trigrams(docs), declared=docs.lang, host=docs.source).collect()
+    assert len(found) == len(rows) and all(r.language == r.lang and r.accepted for r in found)
+    assert time.monotonic() - begun < 60
