@@ -245,13 +245,16 @@ def identify(
         {"_total": _sum("_weights")},
         {"_final": F.transform("_weights", lambda w: w / F.col("_total"))},
     ]
+    # The optimizer cannot take fields of a struct through the steps, so the rows are unpacked first.
+    judged = judged.select(*[F.col(f"_row.{c}").alias(f"_own{i}") for i, c in enumerate(docs.columns)], *[c for c in judged.columns if c != "_row"])
     for step in steps:
         judged = with_columns_once(judged, step)
     best = F.array_max("_final")
     number = F.array_position("_final", best)
     found = F.when(F.col("_final").isNull(), F.lit(UNKNOWN)).otherwise(F.element_at(F.array(*map(F.lit, classes)), number.cast("int")))
     kept = [c for c in docs.columns if c not in (language, confidence, accepted)]
-    out = judged.select(*[F.col(f"_row.{c}") for c in kept], found.alias(language), F.coalesce(best, F.lit(1.0)).alias(confidence))
+    own_columns = [F.col(f"_own{docs.columns.index(c)}").alias(c) for c in kept]
+    out = judged.select(*own_columns, found.alias(language), F.coalesce(best, F.lit(1.0)).alias(confidence))
     return out.withColumn(accepted, F.col(language) != UNKNOWN)
 
 
