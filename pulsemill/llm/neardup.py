@@ -320,11 +320,13 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return held.withColumn("root", F.coalesce("root", "n"))
 
 
-def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members with their class, of buckets that hold several classes."""
-    rooted = staged(_rooted(members, roots), "near-rooted")
-    mixed = rooted.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return rooted.join(mixed.select("band", "hash"), ["band", "hash"], "left_semi")
+def _classes(rooted: DataFrame, turn: int) -> DataFrame:
+    """(band, hash, root, n): the classes of buckets that hold several, with one text for each; another text
+    stands for a class in every turn."""
+    ones = rooted.groupBy("band", "hash", "root").agg(F.min_by("n", F.xxhash64("n", F.lit(turn))).alias("n"))
+    ones = staged(ones, "near-ones")
+    mixed = ones.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    return ones.join(mixed.select("band", "hash"), ["band", "hash"], "left_semi")
 
 
 class _Links:
@@ -354,17 +356,17 @@ class _Links:
 
 
 def _settle(members: DataFrame, signs: DataFrame, found: _Links) -> DataFrame:
-    """Link the classes of each bucket to their neighbours, in TURNS orders; the unsettled members."""
+    """Link the classes of each bucket to their neighbours, in TURNS orders; (n, root) of the texts in buckets of
+    more than two texts that are unsettled after that."""
     for turn in range(TURNS):
-        left = staged(_unsettled(members, found.roots), "near-unsettled")
-        # Another text stands for a class in every round, in another order of the bands.
-        own = F.xxhash64("n", F.lit(turn))
-        ones = left.groupBy("band", "hash", "root").agg(F.min_by("n", own).alias("n")).join(signs, "n")
+        ones = _classes(_rooted(members, found.roots), turn).join(signs, "n")
         later = [F.shiftright(F.element_at("bands", F.pmod(F.col("band") + 2 * turn + k, F.lit(BANDS)) + 1), 32) for k in (1, 2)]
         ones = ones.select("band", "hash", "n", F.shiftleft(later[0], 32).bitwiseXOR(later[1]).alias("order"))
         if not found.verify(_neighbours(ones)):
-            return left
-    return _unsettled(members, found.roots)
+            break
+    rooted = staged(_rooted(members.filter("size > 2"), found.roots), "near-rooted")
+    mixed = _classes(rooted, 0).select("band", "hash").distinct()
+    return staged(rooted.join(mixed, ["band", "hash"], "left_semi").select("n", "root").distinct(), "near-unsettled")
 
 
 def _dealt(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -391,10 +393,9 @@ def _looked_up(rows: DataFrame, lookup: DataFrame, where: Column | None = None)
     return rows.join(copies, same if where is None else same & where).drop("_key", "copy", "_copy")
 
 
-def _complete(left: DataFrame, found: _Links) -> None:
-    """Find all links between different classes of the texts of unsettled buckets."""
+def _complete(unsettled: DataFrame, found: _Links) -> None:
+    """Find all links between different classes of the texts (n, root) of unsettled buckets."""
     threshold = found.threshold
-    unsettled = left.filter("size > 2").select("n", "root").distinct()
     sizes = unsettled.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     classed = skew_join(unsettled, sizes, ["root"])
     # The lighter text of a pair needs this share of its weight.
