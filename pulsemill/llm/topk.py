@@ -199,12 +199,14 @@ def exact_top_k(
 
     asked = rows.filter(is_query).withColumn("block", F.pmod(F.xxhash64("id", "key", F.lit(7)), F.lit(blocks)))
     asked = asked.groupBy("block").applyInPandas(block_of, f"block long, {PACKED}, floors binary, slabs array<int>")
-    meets = asked.withColumn("slab", F.explode("slabs")).drop("slabs")
-    meets = meets.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.element_at(F.array(*[F.lit(c - 1).cast("long") for c in counts]), F.col("slab") + 1))))
     # A task holds one chunk and at most about GROUP blocks.
     groups = -(-blocks // GROUP)
-    meets = meets.withColumn("part", F.pmod("block", F.lit(groups)))
-    spread = chunks.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    asked = staged(asked.withColumn("part", F.pmod("block", F.lit(groups))), "topk-asked")
+    meets = asked.withColumn("slab", F.explode("slabs")).drop("slabs")
+    meets = meets.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.element_at(F.array(*[F.lit(c - 1).cast("long") for c in counts]), F.col("slab") + 1))))
+    # A chunk travels only to the parts with a block that needs its slab; one row per slab says which.
+    needed = asked.select(F.explode("slabs").alias("slab"), "part").groupBy("slab").agg(F.collect_set("part").alias("parts"))
+    spread = chunks.join(needed, "slab").withColumn("part", F.explode("parts")).drop("parts")
 
     def compare(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
