@@ -98,6 +98,10 @@ FLOAT_TEXT = (
 )
 
 
+# The usual spelling, which needs no closer look: what casts is a float, and so is its text.
+PLAIN_TEXT = r"^[-+.0-9eE]+$"
+
+
 def cast_or_skip(text: Column) -> Column:
     """Text as DOUBLE where it reads as a float, else NULL (callers drop those rows)."""
     plain = F.regexp_replace(F.trim(text), "_", "")
@@ -131,7 +135,7 @@ def assign_long(raw: Column) -> Column:
 
 
 def assign_double(raw: Column) -> Column:
-    return F.when(raw.rlike(FLOAT_TEXT), raw.try_cast("double"))
+    return F.when(raw.rlike(PLAIN_TEXT) | raw.rlike(FLOAT_TEXT), raw.try_cast("double"))
 
 
 def assign_boolean(raw: Column) -> Column:
@@ -166,7 +170,7 @@ _ASSIGN_SQL = {
     "string": "{x}",
     "int": "try_cast(round(try_cast({x} as decimal(30,6))) as int)",
     "bigint": "try_cast(round(try_cast({x} as decimal(30,6))) as bigint)",
-    "double": "case when {x} rlike r'" + FLOAT_TEXT + "' then try_cast({x} as double) end",
+    "double": "case when {x} rlike r'" + PLAIN_TEXT + "' or {x} rlike r'" + FLOAT_TEXT + "' then try_cast({x} as double) end",
     "boolean": "case when {x} in ('true', 'false') then cast({x} as boolean) end",
     "date": "try_cast({x} as date)",
 }

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A rewrite replaces only the chunks it writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM does not compile longer methods; rows of many columns are then read in smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
