@@ -47,6 +47,20 @@ def test_micro_batches_equal_one_batch(spark, raw):
     assert state(direct) == state(stores[0])
 
 
+def test_batches_do_not_grow_with_the_files(spark, monkeypatch):
+    """A batch has a fixed cost: past MOST_BATCHES batches they grow larger and not more. No file is lost."""
+    files = {}
+    for user in range(1, 42):
+        files |= {f"{user}_HEART_RATE_2025-08-07T12:00:00Z.json": f'{{"heartRateValues": [[{T + user}, {user}]]}}'}
+    folder, store = scratch_path(spark, "box"), Store(spark, scratch_path(spark, "store"))
+    mailbox.land_documents(spark.createDataFrame(list(files.items()), "file_name string, content string"), folder)
+    epochs, take = [], SetStream.take
+    monkeypatch.setattr(SetStream, "take", lambda self, batch, epoch, hold: epochs.append(epoch) or take(self, batch, epoch, hold))
+    stream_mailbox(spark, folder, store, scratch_path(spark, "taken"), config(), files_per_batch=1)
+    assert epochs == list(range(21)) and len(epochs) <= mailbox.MOST_BATCHES
+    assert sorted(r.value for r in store.read("heart_rate").collect()) == list(range(1, 42))
+
+
 def test_a_replayed_epoch_publishes_nothing(spark, raw):
     store = Store(spark, scratch_path(spark, "store"))
     stream = SetStream(store, scratch_path(spark, "waiting"), config())
